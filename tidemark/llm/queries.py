@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, simhash
+from tidemark.llm import bpe, decontaminate, langid, simhash
 from tidemark.llm.common import table
 
 QUERIES: dict = {}
@@ -53,3 +53,8 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.report(table(spark, sf_dir, "documents"))
