@@ -1,0 +1,63 @@
+import hashlib
+import random
+import re
+
+from tidemark.llm import secrets
+
+
+def test_held_out_findings(spark):
+    """Trained on one generated set, the forest judges another."""
+    trees = secrets.forest(secrets.labelled(spark))
+    other = secrets.labelled(spark, rows=1000, seed=77)
+    from pyspark.sql import functions as F
+
+    x = other.select(F.array(*secrets.feature_columns(F.col("before"), F.col("candidate"), F.col("after"))).alias("x"), "label")
+    total = " + ".join(secrets.as_sql(t, "x") for t in trees)
+    got = x.select("label", F.expr(f"({total}) / {len(trees)}").alias("s")).collect()
+    assert sum((r["s"] >= 0.5) == bool(r["label"]) for r in got) / len(got) > 0.97
+
+
+def brute(text):
+    """Candidates by Python's re, with the same fixed patterns."""
+    pattern = re.compile(secrets.CANDIDATE)
+    out = []
+    for m in pattern.finditer(text or ""):
+        lead = re.match(secrets.LEAD, m[0])
+        out.append(m[0][lead.end() :] if lead else m[0])
+    return out
+
+
+def test_query_finds_every_candidate(spark):
+    from tidemark.llm.queries import QUERIES
+
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
+    got = {}
+    for r in QUERIES["op5_secrets"](spark, "/root/testdata/sf0.01").collect():
+        got.setdefault(r["doc_id"], {})[r["nth"]] = (r["digest"], r["is_secret"])
+    want = {r["doc_id"]: [hashlib.sha256(c.encode()).hexdigest() for c in brute(r["text"])] for r in rows}
+    assert {k: [v[0] for _, v in sorted(x.items())] for k, x in got.items()} == {k: v for k, v in want.items() if v}
+    planted = {r["doc_id"] for r in rows if re.search('token = "[0-9a-f]{40}"', r["text"])}
+    assert planted and all(any(s for _, s in got[d].values()) for d in planted)
+
+
+def test_redaction_and_odd_rows(spark):
+    rng = random.Random(1)
+    key = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    ghp = "ghp_" + "".join(rng.choice("abcdefXYZ0123456789") for _ in range(36))
+    commit = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    long = "word " * 40_000 + f'secret = "{key}"' + " word" * 40_000
+    many = " ".join(f'token = "{hashlib.sha256(str(i).encode()).hexdigest()}"' for i in range(300))
+    rows = [(1, None), (2, ""), (3, f'x token = "{key}" y {key}'), (3, f'x token = "{key}" y {key}'), (4, f"fixed in commit {commit} today"), (None, f"use {ghp} here"), (5, long), (6, "https://cdn.example/assets/images/button_image_123456.png"), (7, "a $1 \\1 password: hunter22!x")]
+    df = spark.createDataFrame([(i, t, "k", "z") for i, t in [*rows, (8, many)]], "doc_id long, text string, TEXT string, score string")
+    clean = secrets.redacted(df)
+    assert clean.columns == df.columns and clean.count() == df.count()
+    text = {r[0]: r[1] for r in clean.collect()}
+    assert text[1] is None and text[2] == ""
+    assert text[3] == 'x token = "[SECRET]" y [SECRET]' and key not in text[5] and ghp not in text[None]
+    assert text[4] == rows[4][1] and text[6] == rows[7][1]
+    assert len(text[5]) == len(long) - 40 + 8 and text[8].count("[SECRET]") == 300
+    assert secrets.findings(df.limit(0)).count() == 0
+    found = secrets.findings(df)
+    assert found.where("doc_id = 3").count() == 4 and found.where("doc_id in (1, 2)").count() == 0
+    nothing = secrets.labelled(spark, rows=0)
+    assert secrets.findings(df, known=nothing).where("not is_secret").count() == 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, langid, simhash
+from tidemark.llm import bpe, decontaminate, langid, secrets, simhash
 from tidemark.llm.common import table
 
 QUERIES: dict = {}
@@ -58,3 +58,8 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.findings(table(spark, sf_dir, "documents"))
