@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, langid, secrets, simhash
+from tidemark.llm import bpe, decontaminate, langid, secrets, simhash, substrings
 from tidemark.llm.common import table
 
 QUERIES: dict = {}
@@ -63,3 +63,8 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.findings(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(table(spark, sf_dir, "documents"))
