@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import project
 
-FAN, LEAF = 16, 256
+FAN, LEAF = 16, 512
+#: A node whose children would cover more than this share of its radius stays a leaf: splitting it would prune nothing.
+KEEP = 0.75
 #: Rows of a data chunk, least and most, and of a chunk of queries.
 LEAST, MOST, QUERIES = 4096, 65_536, 32_768
 EXACT = 1 << 53
@@ -68,7 +70,7 @@ def cover_tree(points: np.ndarray) -> tuple[np.ndarray, Node | None]:
             nearest[closer] = len(centres)
             dist = np.where(closer, d, dist)
             centres.append(c)
-        if len(centres) == 1:
+        if len(centres) == 1 or dist.max() > KEEP * node.radius:
             return node
         by = np.argsort(nearest, kind="stable")
         order[lo:hi] = order[lo:hi][by]
@@ -126,7 +128,17 @@ class Search:
 
     def block(self, a: int, b: int, lo: int, hi: int) -> None:
         s = self.queries[a:b] @ self.data[lo:hi].T
-        ok = (s >= self.worst[a:b, None]) & (self.query_ids[a:b, None] != self.ids[None, lo:hi])
+        worst = self.worst[a:b]
+        own = np.nonzero(np.isin(self.query_ids[a:b], self.ids[lo:hi]))[0]
+        ok = np.ones_like(s, dtype=bool)
+        if len(own):
+            ok[own] = self.query_ids[a:b][own, None] != self.ids[None, lo:hi]
+        spare = self.k + (int((~ok[own]).sum(axis=1).max()) if len(own) else 0)
+        if hi - lo > 4 * spare and not np.isfinite(worst).all():
+            # The block's own kth score is a bound as well; of more, where the query's own rows may be among them.
+            mine = np.partition(s, hi - lo - spare, axis=1)[:, hi - lo - spare]
+            worst = np.maximum(worst, mine)
+        ok &= s >= worst[:, None]
         rows, cols = np.nonzero(ok)
         if not len(rows):
             return
