@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, langid, secrets, simhash, substrings, topk
+from tidemark.llm import bpe, decontaminate, langid, licences, secrets, simhash, substrings, topk
 from tidemark.llm.common import table
 
 QUERIES: dict = {}
@@ -86,3 +86,8 @@ s AS (
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+
+@query
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.report(table(spark, sf_dir, "documents"))
