@@ -98,6 +98,8 @@ TEMPLATES = {
     ],
 }
 UNKNOWN = "unknown"
+#: A longer paragraph is judged in windows of so many words, each half over the next.
+WINDOW = 60
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -253,21 +255,25 @@ def found(text: bytes, own: Classifier, least_probability: float, least_overlap:
     edge, base = own.edges()
     for nth, line in enumerate(text.split(b"\n")):
         words = words_of(line)
-        f = own.features(words)
-        # No family can beat `unknown` if not even the best one for each feature could.
-        if not f or base + sum([edge[i] for i in f]) / len(words) ** 0.5 <= 0:
-            continue
-        p = own.probabilities(words)
-        k = int(p.argmax())
-        family = own.families[k]
-        if family == UNKNOWN or p[k] < least_probability:
-            continue
-        o = own.overlap(family, words)
-        if o < least_overlap:
-            continue
-        got = out.setdefault(family, [0, nth, 0.0, 0.0])
-        got[0] += 1
-        got[2], got[3] = max(got[2], float(p[k])), max(got[3], o)
+        seen = set()
+        for lo in range(0, max(1, len(words) - WINDOW // 2), WINDOW // 2):
+            part = words[lo : lo + WINDOW]
+            f = own.features(part)
+            # No family can beat `unknown` if not even the best one for each feature could.
+            if not f or base + sum([edge[i] for i in f]) / len(part) ** 0.5 <= 0:
+                continue
+            p = own.probabilities(part)
+            k = int(p.argmax())
+            family = own.families[k]
+            if family == UNKNOWN or p[k] < least_probability:
+                continue
+            o = own.overlap(family, part)
+            if o < least_overlap:
+                continue
+            got = out.setdefault(family, [0, nth, 0.0, 0.0])
+            got[0] += family not in seen
+            seen.add(family)
+            got[2], got[3] = max(got[2], float(p[k])), max(got[3], o)
     return out
 
 
