@@ -99,7 +99,7 @@ TEMPLATES = {
 }
 UNKNOWN = "unknown"
 #: A longer paragraph is judged in windows of so many words, each half over the next.
-WINDOW = 60
+WINDOW = 24
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -176,7 +176,7 @@ def made(seed: int, each: int) -> list[tuple[list[bytes], str]]:
                 ws = [w for w in ws if rng.random() > 0.08]
                 ws = [prose(1)[0] if rng.random() < 0.04 else w for w in ws]
             if rng.random() < 0.4:
-                ws = prose(rng.randint(0, 12)) + ws + prose(rng.randint(0, 12))
+                ws = prose(rng.randint(0, 16)) + ws + prose(rng.randint(0, 16))
             out.append((ws, family))
     for i in range(each * 6):
         kind = i % 4
