@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, langid, licences, secrets, simhash, substrings, topk
+from tidemark.llm import bpe, decontaminate, langid, licences, lm, secrets, simhash, substrings, topk
 from tidemark.llm.common import table
 
 QUERIES: dict = {}
@@ -91,3 +91,8 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 @query
 def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
