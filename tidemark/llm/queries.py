@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, langid, licences, lm, secrets, simhash, substrings, topk
+from tidemark.llm import bpe, decontaminate, langid, licences, lm, secrets, shards, simhash, substrings, topk
 from tidemark.llm.common import table
 
 QUERIES: dict = {}
@@ -96,3 +96,9 @@ def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The table's files give the same partitions in both passes; that is checked as well.
+    return shards.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), key=20, written_first=False)
