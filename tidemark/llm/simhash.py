@@ -31,7 +31,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import project, text_bytes, written
@@ -260,15 +260,18 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFra
 def one_of_each(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFrame:
     """The rows of docs, all columns, without near copies: of each component the row of the smallest doc_id stays.
 
-    Rows that repeat that doc_id count as copies too: one of them stays. Rows
-    whose doc_id is null stand for no document to keep and go, unless their
-    component has nothing else; then one of them stays.
+    Of rows that share that doc_id the one whose text has the smallest hash stays.
+    Rows without doc_id cannot be told apart by it, take no part and all stay.
     """
-    found = near_duplicates(docs, radius, width)
-    keep = found.where("doc_id <=> component_id").select("doc_id").distinct()
     names = docs.columns
     inner = [f"__c{i}" for i in range(len(names))]
-    key = inner[names.index("doc_id")]
+    key, text = inner[names.index("doc_id")], inner[names.index("text")]
     placed = docs.toDF(*inner)
-    kept = placed.join(keep.select(F.col("doc_id").alias("__keep")), F.col(key).eqNullSafe(F.col("__keep")), "left_semi")
-    return kept.dropDuplicates([key]).toDF(*names)
+    named = placed.where(F.col(key).isNotNull())
+    found = near_duplicates(named.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), radius, width)
+    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
+    kept = named.join(keep, F.col(key) == F.col("__keep"), "left_semi")
+    # The join has dealt the rows by doc_id, so this needs no further shuffle.
+    first = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(text)))
+    kept = kept.withColumn("__n", first).where("__n = 1").select(*inner)
+    return kept.unionByName(placed.where(F.col(key).isNull())).toDF(*names)
