@@ -37,8 +37,8 @@ from tokenizers import Tokenizer
 from tidemark.llm.common import project, text_bytes
 from tidemark.llm.decontaminate import slices
 
-#: Chunks, and pairs of tokens, that a task remembers.
-CHUNKS, PAIRS = 400_000, 500_000
+#: Chunks, words and pairs of tokens that a task remembers.
+CHUNKS, PAIRS = 800_000, 500_000
 #: Text for which the rules below are the same as the library's; other text goes through the library's own components.
 PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]*")
 WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
@@ -95,6 +95,7 @@ class Encoder:
         self.ids: dict[bytes, bytes] = {}
         self.text: dict[bytes, bytes] = {}
         self.hollow: set[bytes] = set()
+        self.known: dict[bytes, tuple[bytes, bytes]] = {}
 
     def bpe(self, symbols) -> list[int]:
         """Merges by rank, leftmost first; only for the symbols of one or two tokens."""
@@ -173,15 +174,18 @@ class Encoder:
         split: dict[bytes, list] = {}
         for c in chunks:
             s = c.decode("utf-8", "replace")
-            if self.cut and any(m in c for m in self.marks):
+            if self.cut and b"<|" in c and any(m in c for m in self.marks):
                 split[c] = [w for piece in self.cut.split(s) if piece for w in ([self.special[piece]] if piece in self.special else self.words(piece))]
             else:
                 split[c] = self.words(s)
-        distinct = {w for ws in split.values() for w in ws if type(w) is bytes}
-        known, names = {}, self.names
+        known, names = self.known, self.names
+        distinct = {w for ws in split.values() for w in ws if type(w) is bytes and w not in known}
         for w, ids in self.traverse(list(distinct)):
             known[w] = (" ".join(map(str, ids)).encode(), " ".join([names[i] for i in ids]).encode())
         for c, ws in split.items():
+            if len(ws) == 1 and type(ws[0]) is bytes:
+                self.ids[c], self.text[c] = known[ws[0]]
+                continue
             if not ws:
                 self.hollow.add(c)
             got = [known[w] if type(w) is bytes else (b"%d" % w, names[w].encode()) for w in ws]
@@ -196,6 +200,7 @@ class Encoder:
                 self.ids.clear()
                 self.text.clear()
                 self.hollow.clear()
+                self.known.clear()
             self.learn({c for cs in split for c in cs if c not in self.ids})
             ids, text = self.ids.__getitem__, self.text.__getitem__
             for cs in split:
