@@ -6,15 +6,22 @@ cursor of sequence numbers, never a watermark in time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-EARLIER = Window.partitionBy("track").orderBy("arrival").rowsBetween(Window.unboundedPreceding, -1)
-IN_SEQUENCE = Window.partitionBy("track").orderBy("seq")
 #: Incident rows of a track that are spelled out; more are counted only.
 INCIDENTS = 256
 
 
+def earlier() -> WindowSpec:
+    """A track's arrivals before this one."""
+    return Window.partitionBy("track").orderBy("arrival").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def in_sequence() -> WindowSpec:
+    return Window.partitionBy("track").orderBy("seq")
+
+
 def arrivals(groups: DataFrame) -> DataFrame:
     """A deterministic arrival order of groups (track, grp): displaced, with holes and second copies."""
     kept = groups.where("grp % 13 <> 0 or grp = 0").select("track", F.col("grp").alias("seq"))
@@ -27,7 +34,7 @@ def arrivals(groups: DataFrame) -> DataFrame:
 
 def zero_patience(rows: DataFrame) -> DataFrame:
     """rows with late: an arrival at or under the greatest before it; the others are delivered."""
-    return rows.withColumn("late", F.coalesce(F.col("seq") <= F.max("seq").over(EARLIER), F.lit(False)))
+    return rows.withColumn("late", F.coalesce(F.col("seq") <= F.max("seq").over(earlier()), F.lit(False)))
 
 
 def abandoned_holes(rows: DataFrame) -> DataFrame:
@@ -39,7 +46,7 @@ def abandoned_holes(rows: DataFrame) -> DataFrame:
 
 def late_rows(rows: DataFrame) -> DataFrame:
     """Late arrivals with the cursor they fell under; of each track the first INCIDENTS only."""
-    told = rows.withColumn("cursor", F.max("seq").over(EARLIER) + 1).where("seq < cursor")
+    told = rows.withColumn("cursor", F.max("seq").over(earlier()) + 1).where("seq < cursor")
     n = F.row_number().over(Window.partitionBy("track").orderBy("arrival"))
     return told.withColumn("n", n).where(F.col("n") <= INCIDENTS).select("track", F.col("seq").alias("grp"), "cursor", "arrival")
 
@@ -51,7 +58,7 @@ def first_copies(rows: DataFrame) -> DataFrame:
 
 def patient_holes(rows: DataFrame) -> DataFrame:
     """Holes that a hold with endless patience gives up on at the end."""
-    told = first_copies(rows).withColumn("before", F.lag("seq").over(IN_SEQUENCE))
+    told = first_copies(rows).withColumn("before", F.lag("seq").over(in_sequence()))
     return told.where("seq > before + 1").select("track", (F.col("before") + 1).alias("from_seq"), (F.col("seq") - 1).alias("to_seq"), F.lit("end").alias("reason"))
 
 
@@ -78,8 +85,8 @@ def live_join(rows: DataFrame) -> DataFrame:
     told = rows.join(join, "track", "left")
     # A group has gone out once it and all from c on are there; behind a hole it is held to the end.
     firsts = told.where("seq >= c").groupBy("track", "seq").agg(F.min("arrival").alias("first"), F.first("c").alias("c"), F.first("at").alias("at"))
-    whole = F.col("seq") - F.col("c") == F.row_number().over(IN_SEQUENCE) - 1
-    out = F.max(F.greatest("first", "at")).over(IN_SEQUENCE.rowsBetween(Window.unboundedPreceding, 0))
+    whole = F.col("seq") - F.col("c") == F.row_number().over(in_sequence()) - 1
+    out = F.max(F.greatest("first", "at")).over(in_sequence().rowsBetween(Window.unboundedPreceding, 0))
     gone = firsts.select("track", "seq", "first", F.when(whole, out).alias("out"))
     told = told.join(gone, ["track", "seq"], "left")
     fate = (

@@ -283,10 +283,10 @@ def hold_counters(spark, sf_dir):
     return hold.patient_counters(arrivals(spark, sf_dir))
 
 
-@query(""", j AS (SELECT track, min(arrival) AS at FROM arr WHERE seq % 5 = 3 GROUP BY track), c AS (SELECT track, at, seq AS c FROM j JOIN arr USING (track) WHERE arrival = at),
+@query(""", j AS (SELECT track, min(arrival) AS att FROM arr WHERE seq % 5 = 3 GROUP BY track), c AS (SELECT track, att, seq AS c FROM j JOIN arr USING (track) WHERE arrival = att),
 f AS (SELECT track, seq, min(arrival) AS first FROM arr GROUP BY ALL),
-g AS (SELECT f.*, c.c, c.at, seq - c.c - (row_number() OVER w - 1) AS missing, max(greatest(first, at)) OVER w AS done FROM f JOIN c USING (track) WHERE seq >= c.c WINDOW w AS (PARTITION BY track ORDER BY seq))
-SELECT a.track, a.arrival, a.seq, c.c AS joined_at, CASE WHEN a.seq < c.c THEN CASE WHEN a.arrival > c.at THEN 'late' ELSE 'skipped' END WHEN a.arrival = g.first THEN 'delivered' WHEN g.missing = 0 AND a.arrival > g.done THEN 'late' ELSE 'repeated' END AS fate
+g AS (SELECT f.*, c.c, c.att, seq - c.c - (row_number() OVER w - 1) AS missing, max(greatest(first, att)) OVER w AS done FROM f JOIN c USING (track) WHERE seq >= c.c WINDOW w AS (PARTITION BY track ORDER BY seq))
+SELECT a.track, a.arrival, a.seq, c.c AS joined_at, CASE WHEN a.seq < c.c THEN CASE WHEN a.arrival > c.att THEN 'late' ELSE 'skipped' END WHEN a.arrival = g.first THEN 'delivered' WHEN g.missing = 0 AND a.arrival > g.done THEN 'late' ELSE 'repeated' END AS fate
 FROM arr a JOIN c USING (track) LEFT JOIN g ON g.track = a.track AND g.seq = a.seq""")
 def live_join(spark, sf_dir):
     return hold.live_join(arrivals(spark, sf_dir).withColumn("decodable", F.col("seq") % 5 == 3))
