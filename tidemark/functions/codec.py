@@ -124,3 +124,15 @@ def strip_audio(name: Column) -> Column:
 
 def numbered(base: Column, n: Column) -> Column:
     return F.when(n == 1, base).otherwise(F.concat(base, F.lit("."), (n - 1).cast("string")))
+
+
+def rescale(ticks: Column, num: Column, den: Column, to_num: Column, to_den: Column) -> Column:
+    """Ticks of one time base in another, to the nearest; halves go up."""
+    top, low = ticks * num * to_den, den * to_num
+    return F.floor((2 * top + low) / (2 * low)).cast("long")
+
+
+def legacy_sample(data: Column) -> Column:
+    """The sample of a frame with its pts in front; null where there is none."""
+    body = frame_body(data)
+    return F.when(F.length(body) > 0, body)

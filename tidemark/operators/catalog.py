@@ -158,3 +158,23 @@ def drift(old: DataFrame, new: DataFrame) -> DataFrame:
     missing = old.join(there, ["broadcast", "name"], "left_anti").select("broadcast", "name", F.lit("missing").alias("reason"))
     changed = F.coalesce(*[F.when(~F.col(c).eqNullSafe(F.col(f"new_{c}")), c) for c in fields])
     return missing.unionByName(old.join(there, ["broadcast", "name"]).select("broadcast", "name", changed.alias("reason")).where("reason is not null"))
+
+
+def pick(found: DataFrame, track: str | None = None, index: int = 0) -> DataFrame:
+    """The rendition by its name, or by its place in the listing; none is an error."""
+    own = found.where(F.col("name") == track) if track is not None else found.where(F.col("ordinal") == index)
+    wanted = f"track {track!r}" if track is not None else f"rendition {index}"
+    if own.isEmpty():
+        raise ValueError(f"the catalog has no {wanted}")
+    return own
+
+
+def last_document(documents: DataFrame) -> DataFrame:
+    """The catalog that stands: of (broadcast, grp, document) the latest group's."""
+    return documents.groupBy("broadcast").agg(F.max_by("document", "grp").alias("document"))
+
+
+def by_priority(tracks: DataFrame) -> DataFrame:
+    """tracks with the priority they have on the wire."""
+    kinds = F.create_map(*[F.lit(x) for kv in PRIORITY.items() for x in kv])
+    return tracks.withColumn("priority", kinds[F.col("kind")])
