@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,3 +61,16 @@ def text_bytes() -> Column:
 def fold(modulus: int) -> Column:
     """crc32 of the doc_id as text, modulo modulus; a null doc_id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
+
+
+def per_worker(key: str, make: Callable[[], Any]) -> Any:
+    """What make gives, kept by this Python worker for its next tasks with the same key.
+
+    One thing is kept at a time, so what an operator remembers bounds the worker's memory.
+    """
+    kept = sys.modules.setdefault("_tidemark_kept", types.ModuleType("_tidemark_kept"))
+    if getattr(kept, "key", None) != key:
+        kept.key = kept.value = None
+        kept.value = make()
+        kept.key = key
+    return kept.value

@@ -24,6 +24,7 @@ Defined results
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,13 +34,13 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold, project
+from tidemark.llm.common import fold, per_worker, project
 from tidemark.llm.decontaminate import slices
 
 BUCKETS = 1 << 17
 ORDERS = (1, 2, 3, 4)
 PIECE = 128
-#: Chunks whose emissions a task remembers, and bytes of text it looks at together.
+#: Chunks whose emissions a worker remembers, and bytes of text it looks at together.
 REMEMBERED, SLICE = 300_000, 4 << 20
 
 
@@ -299,13 +300,11 @@ def predicted(docs: DataFrame, field: Field | None, text: str = "text") -> DataF
     """docs (any columns) with __lang and __score."""
     names = docs.columns
     inner = [f"__c{i}" for i in range(len(names))]
-    model = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(field))
+    model, key = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(field)), uuid.uuid4().hex
     src = docs.toDF(*inner).withColumn("__body", F.coalesce(F.col(inner[names.index(text)]), F.lit("")).cast("binary"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = cloudpickle.loads(model.value)
-        known: dict[bytes, int] = {}
-        emit: list[np.ndarray] = []
+        own, known, emit = per_worker(key, lambda: (cloudpickle.loads(model.value), {}, []))
         for batch in batches:
             langs, scores = [], []
             bodies = batch.column(len(inner)).to_pylist()
