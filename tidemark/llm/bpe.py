@@ -9,8 +9,9 @@ its states, so each is computed once. Words sorted by their symbols visit the
 trie in that order, and only the states of the current path are kept.
 
 Texts are cut at ASCII white space, which no word of the tokenizer crosses.
-What is left, a chunk, is encoded once for as long as it is remembered; the
-memory is bounded and starts anew when full.
+What is left, a chunk, is encoded once for as long as it is remembered. The
+memory is bounded: when it is full, a new one begins, into which what is met
+again moves over from the last one.
 
 Defined results: a null or blank text has no tokens and decodes to the empty
 text; bytes that are no UTF-8 count as U+FFFD; strings of special tokens are
@@ -24,7 +25,9 @@ import hashlib
 import json
 import marshal
 import re
+import uuid
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -34,11 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import project, text_bytes
+from tidemark.llm.common import per_worker, project, text_bytes
 from tidemark.llm.decontaminate import slices
 
-#: Chunks, words and pairs of tokens that a task remembers.
-CHUNKS, PAIRS = 800_000, 500_000
+#: Chunks, words and pairs of tokens that a worker remembers.
+CHUNKS, PAIRS = 250_000, 500_000
+#: What a chunk without words comes to.
+HOLLOW = (b"", b"")
 #: Text for which the rules below are the same as the library's; other text goes through the library's own components.
 PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]*")
 WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
@@ -92,9 +97,9 @@ class Encoder:
                 node[-1] = t
         self.cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.marks = [s.encode() for s in self.special]
-        self.ids: dict[bytes, bytes] = {}
-        self.text: dict[bytes, bytes] = {}
-        self.hollow: set[bytes] = set()
+        #: (ids in decimal, decoded text) of chunks, of chunks of the memory before, and of words.
+        self.chunks: dict[bytes, tuple[bytes, bytes]] = {}
+        self.before: dict[bytes, tuple[bytes, bytes]] = {}
         self.known: dict[bytes, tuple[bytes, bytes]] = {}
 
     def bpe(self, symbols) -> list[int]:
@@ -169,44 +174,45 @@ class Encoder:
         got = self.splitter.pre_tokenize_str(self.normalizer.normalize_str(chunk))
         return [bytes(self.bytes_of[c] for c in w) for w, _ in got]
 
-    def learn(self, chunks: set[bytes]) -> None:
+    def learn(self, chunks: list[bytes]) -> None:
         """Encodes chunks that aren't remembered."""
         split: dict[bytes, list] = {}
         for c in chunks:
+            if (had := self.before.pop(c, None)) is not None:
+                self.chunks[c] = had
+                continue
             s = c.decode("utf-8", "replace")
             if self.cut and b"<|" in c and any(m in c for m in self.marks):
                 split[c] = [w for piece in self.cut.split(s) if piece for w in ([self.special[piece]] if piece in self.special else self.words(piece))]
             else:
                 split[c] = self.words(s)
         known, names = self.known, self.names
-        distinct = {w for ws in split.values() for w in ws if type(w) is bytes and w not in known}
-        for w, ids in self.traverse(list(distinct)):
+        for w, ids in self.traverse(list({w for ws in split.values() for w in ws if type(w) is bytes and w not in known})):
             known[w] = (" ".join(map(str, ids)).encode(), " ".join([names[i] for i in ids]).encode())
         for c, ws in split.items():
-            if len(ws) == 1 and type(ws[0]) is bytes:
-                self.ids[c], self.text[c] = known[ws[0]]
-                continue
-            if not ws:
-                self.hollow.add(c)
             got = [known[w] if type(w) is bytes else (b"%d" % w, names[w].encode()) for w in ws]
-            self.ids[c] = b" ".join([g[0] for g in got])
-            self.text[c] = b" ".join([g[1] for g in got])
+            self.chunks[c] = got[0] if len(got) == 1 else (b" ".join([g[0] for g in got]), b" ".join([g[1] for g in got]))
 
     def encode(self, texts: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """(ids in decimal, decoded text) of each text, each joined by spaces."""
         for lo, hi in slices(texts):
             split = [t.split() for t in texts[lo:hi]]
-            if len(self.ids) > CHUNKS:
-                self.ids.clear()
-                self.text.clear()
-                self.hollow.clear()
-                self.known.clear()
-            self.learn({c for cs in split for c in cs if c not in self.ids})
-            ids, text = self.ids.__getitem__, self.text.__getitem__
+            if len(self.chunks) > CHUNKS:
+                self.chunks, self.before, self.known = {}, self.chunks, {}
+            flat = list(chain.from_iterable(split))
+            got = list(map(self.chunks.get, flat))
+            if None in got:
+                unknown = [i for i, g in enumerate(got) if g is None]
+                self.learn(list(dict.fromkeys([flat[i] for i in unknown])))
+                for i in unknown:
+                    got[i] = self.chunks[flat[i]]
+            end = 0
             for cs in split:
-                if self.hollow:
-                    cs = [c for c in cs if c not in self.hollow]
-                yield b" ".join(map(ids, cs)), b" ".join(map(text, cs))
+                begin, end = end, end + len(cs)
+                own = got[begin:end]
+                if HOLLOW in own:  # white space that only Unicode knows
+                    own = [g for g in own if g != HOLLOW]
+                yield b" ".join([g[0] for g in own]), b" ".join([g[1] for g in own])
 
 
 def count(ids: bytes) -> int:
@@ -219,10 +225,10 @@ def array(ids: bytes) -> np.ndarray:
 
 def report(docs: DataFrame, path: str) -> DataFrame:
     """The contract's columns: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    tables = docs.sparkSession.sparkContext.broadcast(prepared(path))
+    tables, key = docs.sparkSession.sparkContext.broadcast(prepared(path)), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tables.value)
+        encoder = per_worker(key, lambda: Encoder(tables.value))
         for batch in batches:
             n, a, b = [], [], []
             for ids, text in encoder.encode(batch.column(1).to_pylist()):
@@ -237,7 +243,7 @@ def report(docs: DataFrame, path: str) -> DataFrame:
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """docs with a further column of token ids (array of int); a column of that name is replaced."""
-    tables = docs.sparkSession.sparkContext.broadcast(prepared(path))
+    tables, key = docs.sparkSession.sparkContext.broadcast(prepared(path)), uuid.uuid4().hex
 
     every = docs.columns
     use = [i for i, c in enumerate(every) if c != ids]
@@ -246,7 +252,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     src = placed.withColumn("__body", F.coalesce(F.col(inner[names.index(text)]), F.lit("")).cast("binary"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tables.value)
+        encoder = per_worker(key, lambda: Encoder(tables.value))
         for batch in batches:
             bodies = batch.column(len(inner)).to_pylist()
             for lo, hi in slices(bodies):
