@@ -7,7 +7,7 @@ import pytest
 
 from tidemark.llm import shards
 
-PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 16, 17, 1000, 65537])

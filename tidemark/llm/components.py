@@ -1,9 +1,10 @@
 """Connected components of an edge table, wholly distributed.
 
 Each round every node hooks to its smallest neighbour (a map-side combined
-minimum), the hooks are shortened by one jump, and the edges are contracted:
-an edge inside a new node goes, equal edges merge. What remains shrinks until
-no edge is left. Joins are on plain keys, so AQE splits a node with many edges.
+minimum), the hooks are doubled until all point to the root of their tree, and
+the edges are contracted: an edge inside a tree goes, equal edges merge. Each
+round leaves half the nodes at most, until no edge is left. Joins are on plain
+keys, so AQE splits a node with many edges.
 """
 
 from __future__ import annotations
@@ -20,9 +21,13 @@ def components(edges: DataFrame) -> DataFrame:
     hooks = []
     while not now.isEmpty():
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        up = low.select(F.col("u").alias("m"), F.col("m").alias("mm"))
-        hook = checkpointed(low.join(up, "m").select(F.col("u").alias("node"), F.col("mm").alias("to")))
+        hook = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("to")).withColumnRenamed("u", "node")
+        while True:
+            hook = checkpointed(hook)
+            far = hook.join(hook.select(F.col("node").alias("to"), F.col("to").alias("far")), "to")
+            if far.where("far <> to").isEmpty():
+                break
+            hook = far.select("node", F.col("far").alias("to"))
         hooks.append(hook)
         a = hook.select(F.col("node").alias("u"), F.col("to").alias("a"))
         b = hook.select(F.col("node").alias("v"), F.col("to").alias("b"))
