@@ -62,3 +62,17 @@ def test_parameters():
     with pytest.raises(ValueError, match="rows"):
         wirelog.checked(wirelog.PUBLISH, {"rows": "all"})
     assert wirelog.checked(wirelog.SUBSCRIBE, {})["start"] == "live"
+
+
+def test_stream_is_published(spark, published, tmp_path):
+    relay, frames, _ = published
+    src = wirelog.subscribe(spark, relay, "live/demo", start="backlog").frames(stream=True).where("track = 'view'")
+    q = wirelog.publish_stream(src, relay, "live/copy", str(tmp_path / "cp"))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    copy = wirelog.subscribe(spark, relay, "live/copy")
+    assert copy.frames().count() == frames.where("track = 'view'").count()
+    with pytest.raises(TimeoutError):
+        copy.catalog(tries=2, pause_s=0)

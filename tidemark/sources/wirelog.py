@@ -10,6 +10,7 @@ the query filters out.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -162,14 +163,35 @@ def publish(frames: DataFrame, tracks: DataFrame, relay: str, broadcast: str, **
     return total
 
 
+def publish_stream(frames: DataFrame, relay: str, broadcast: str, checkpoint: str, trigger: dict | None = None):
+    """Appends a stream of frames (the log's columns) to a broadcast's log; returns the running query.
+
+    A micro-batch is written under its own number, so one that runs again replaces what it wrote.
+    """
+    base = f"{relay.rstrip('/')}/{broadcast}/log"
+
+    def write(batch: DataFrame, nth: int) -> None:
+        batch.select(*FIELDS).write.mode("overwrite").partitionBy("track").parquet(f"{base}/batch={nth:012d}")
+
+    out = frames.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return out.trigger(**trigger).start() if trigger else out.start()
+
+
 @dataclass
 class Subscription:
     spark: SparkSession
     location: str
     params: dict
 
-    def catalog(self) -> DataFrame:
-        """(broadcast, document); a bounded number of tries is up to the caller's path."""
+    def catalog(self, tries: int = 40, pause_s: float = 0.25) -> DataFrame:
+        """(broadcast, document), waiting so many times for a publisher that isn't there yet."""
+        store, base = fs.FileSystem.from_uri(self.location)
+        for _ in range(tries):
+            if store.get_file_info(f"{base}/catalog/_SUCCESS").type == fs.FileType.File:
+                break
+            time.sleep(pause_s)
+        else:
+            raise TimeoutError(f"no catalog at {self.location}")
         return self.spark.read.text(f"{self.location}/catalog").select(F.lit(self.location).alias("broadcast"), F.col("value").alias("document"))
 
     def renditions(self) -> DataFrame:

@@ -18,6 +18,8 @@ ROWS = (
     + ", ".join(f"{c} long" for c in COUNTS) + ", first_grp long, last_grp long, final boolean"
 )
 COLUMNS = [c.strip().split(" ")[0].strip("`") for c in ROWS.split(",")]
+#: A track's totals are told this often.
+REPORT_MS = 5000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -48,9 +50,9 @@ def told(track: str, hold: Hold, now: float, last: bool) -> list[dict]:
     for r in rows:
         out.append({"kind": r["kind"], "grp": r.get("group"), "cursor": r.get("cursor"), "from_grp": r.get("from"), "to_grp": r.get("to"), "reason": r.get("reason"), "held_groups": r.get("held_groups"), "held_bytes": r.get("held_bytes")})
     out += [{"kind": "ask", "grp": a} for a in asks]
-    if last:
-        t = hold.track_row(final=True)
-        out.append({"kind": "track", **hold.counts, "first_grp": t["first"], "last_grp": t["last"], "final": True})
+    t = hold.track_row(final=True) if last else hold.report(now, REPORT_MS)
+    if t:
+        out.append({"kind": "track", **hold.counts, "first_grp": t["first"], "last_grp": t["last"], "final": t["final"]})
     return [{"track": track, **r} for r in out]
 
 
@@ -77,9 +79,8 @@ class Ordering(StatefulProcessor):
         self.state.update((pickle.dumps(hold.state()),))
         for timer in list(self.handle.listTimers()):  # another would fire beside, not instead
             self.handle.deleteTimer(timer[0] if isinstance(timer, tuple) else timer)
-        due = hold.due()
-        if due is not None and not hold.ended:
-            self.handle.registerTimer(int(due))
+        if not hold.ended:
+            self.handle.registerTimer(int(min(x for x in (hold.due(), (hold.reported or 0) + REPORT_MS) if x is not None)))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         hold, now = self._hold(), float(timerValues.getCurrentProcessingTimeInMs())
