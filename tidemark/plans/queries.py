@@ -502,7 +502,7 @@ def summary_windows(spark, sf_dir):
 # Addresses.
 
 ADDRESSES = [
-    ("moqt://relay.example:4443", "", "", None), ("relay.example", "abc", "/abc", None), ("https://relay.example/tok", "", "/tok", None), ("https://relay.example/tok", "tok", "/tok", None),
+    ("quic://relay.example:4443", "", "", None), ("relay.example", "abc", "/abc", None), ("https://relay.example/tok", "", "/tok", None), ("https://relay.example/tok", "tok", "/tok", None),
     ("https://relay.example/tok", "other", None, "two tokens"), ("https://relay.example/root?jwt=t1", "t1", "/root?jwt=t1", None), ("https://relay.example/root?jwt=t1", "t2", None, "two tokens"),
     ("https://relay.example/?jwt=", "t", "/?jwt=", None), ("https://relay.example/a#b", "", None, "fragment"), ("https://relay.example/?Token=x", "", None, "token parameter"),
     ("relay.example:99999", "", None, "not a port"), ("https://[::1]:443/x", "", "/x", None), ("[::1]", "", "", None), ("https:///x", "", None, "no host"), ("relay.example:abc", "", None, "not a port"),
@@ -516,7 +516,7 @@ def url_session_path(spark, sf_dir):
     return rows.select("url", "token", address.session_path(F.col("p"), F.col("token")).alias("path"), address.refusal(F.col("p"), F.col("token")).alias("refused"))
 
 
-@query("SELECT * FROM (VALUES ('moqt://h:1/a?b#c', 'moqt://h:1/...?...#...', 'h', 1, 'abcdefghijklm', 'abcd...jklm'), ('h', 'h', 'h', 443, 'short', '5 characters'), ('https://[2001:db8::1]/t', 'https://[2001:db8::1]/...', '2001:db8::1', 443, 'twelve chars', '12 characters')) t(url, shown, host, port, token, short)")
+@query("SELECT * FROM (VALUES ('quic://h:1/a?b#c', 'quic://h:1/...?...#...', 'h', 1, 'abcdefghijklm', 'abcd...jklm'), ('h', 'h', 'h', 443, 'short', '5 characters'), ('https://[2001:db8::1]/t', 'https://[2001:db8::1]/...', '2001:db8::1', 443, 'twelve chars', '12 characters')) t(url, shown, host, port, token, short)")
 def url_parts(spark, sf_dir):
-    rows = spark.sql("SELECT * FROM (VALUES ('moqt://h:1/a?b#c', 'abcdefghijklm'), ('h', 'short'), ('https://[2001:db8::1]/t', 'twelve chars')) t(url, token)").withColumn("p", address.parts(F.col("url")))
+    rows = spark.sql("SELECT * FROM (VALUES ('quic://h:1/a?b#c', 'abcdefghijklm'), ('h', 'short'), ('https://[2001:db8::1]/t', 'twelve chars')) t(url, token)").withColumn("p", address.parts(F.col("url")))
     return rows.select("url", address.shown(F.col("p")).alias("shown"), "p.host", "p.port", "token", address.shorten(F.col("token")).alias("short"))
