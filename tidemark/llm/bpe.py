@@ -37,11 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import per_worker, project, text_bytes
+from tidemark.llm.common import per_worker, project, text_bytes, trim
 from tidemark.llm.decontaminate import slices
 
 #: Chunks, words and pairs of tokens that a worker remembers.
-CHUNKS, PAIRS = 250_000, 500_000
+CHUNKS, PAIRS = 150_000, 300_000
+#: Bytes of text whose chunks are held together.
+SLICE = 2 << 20
 #: What a chunk without words comes to.
 HOLLOW = (b"", b"")
 #: Text for which the rules below are the same as the library's; other text goes through the library's own components.
@@ -195,7 +197,7 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """(ids in decimal, decoded text) of each text, each joined by spaces."""
-        for lo, hi in slices(texts):
+        for lo, hi in slices(texts, SLICE):
             split = [t.split() for t in texts[lo:hi]]
             if len(self.chunks) > CHUNKS:
                 self.chunks, self.before, self.known = {}, self.chunks, {}
@@ -236,6 +238,8 @@ def report(docs: DataFrame, path: str) -> DataFrame:
                 a.append(hashlib.sha256(ids).hexdigest())
                 b.append(hashlib.sha256(text).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        batch = None
+        trim()
 
     src = project(docs, ["doc_id", "text"]).select("doc_id", text_bytes().alias("body"))
     return src.mapInArrow(run, f"doc_id {dict(src.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string")
@@ -255,12 +259,14 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
         encoder = per_worker(key, lambda: Encoder(tables.value))
         for batch in batches:
             bodies = batch.column(len(inner)).to_pylist()
-            for lo, hi in slices(bodies):
+            for lo, hi in slices(bodies, SLICE):
                 got = [array(i) for i, _ in encoder.encode(bodies[lo:hi])]
                 ends = np.cumsum([0, *map(len, got)]).astype(np.int32)
                 col = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(got)))
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(inner))), col], names=[*inner, "__ids"])
+        batch = bodies = part = got = col = None
+        trim()
 
     schema = src.drop("__body").withColumn("__ids", F.lit(None).cast("array<int>")).schema
     return src.mapInArrow(run, schema).toDF(*names, ids)

@@ -34,14 +34,14 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold, per_worker, project
+from tidemark.llm.common import fold, per_worker, project, trim
 from tidemark.llm.decontaminate import slices
 
 BUCKETS = 1 << 17
 ORDERS = (1, 2, 3, 4)
 PIECE = 128
 #: Chunks whose emissions a worker remembers, and bytes of text it looks at together.
-REMEMBERED, SLICE = 300_000, 4 << 20
+REMEMBERED, SLICE = 200_000, 2 << 20
 
 
 def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -318,6 +318,8 @@ def predicted(docs: DataFrame, field: Field | None, text: str = "text") -> DataF
                     langs.append("und")
                     scores.append(0.0)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(inner))), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*inner, "__lang", "__score"])
+        batch = bodies = None
+        trim()
 
     schema = src.drop("__body").withColumns({"__lang": F.lit("").cast("string"), "__score": F.lit(None).cast("double")}).schema
     return src.mapInArrow(run, schema).toDF(*names, "__lang", "__score")
