@@ -101,4 +101,4 @@ def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The table's files give the same partitions in both passes; that is checked as well.
-    return shards.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), key=20, written_first=False)
+    return shards.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), key=20, written_first=False)

@@ -30,8 +30,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import sys
 import uuid
-import zlib
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -39,12 +40,12 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 import xxhash
+import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidemark.llm.common import project, shared_dir, text_bytes, written
+from tidemark.llm.common import per_worker, project, shared_dir, text_bytes, written
 
 ROUNDS = 6
 #: How the vocabulary's texts are cut into words; a fixed value of the vocabulary.
@@ -89,32 +90,31 @@ def encoding(vocabulary: bytes) -> tiktoken.Encoding:
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def packed(ids: np.ndarray) -> bytes:
-    """Ids for the shuffle: low and high bytes apart, which compress far better."""
-    return zlib.compress(ids.view(np.uint8).reshape(len(ids), -1).T.tobytes(), 1)
+def packed(records: np.ndarray) -> bytes:
+    """Records for the shuffle: low and high bytes apart, which compress far better."""
+    return zstandard.compress(records.reshape(-1, 1).view(np.uint8).T.tobytes(), 1)
 
 
 def unpacked(data: bytes, width: int) -> bytes:
-    return np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(width, -1).T.tobytes()
+    return np.frombuffer(zstandard.decompress(data), dtype=np.uint8).reshape(width, -1).T.tobytes()
 
 
 class Stream:
     """A partition's tokens, and what it held."""
 
-    def __init__(self, vocabulary: bytes, end: int):
-        self.own, self.end, self.total, self.digest = encoding(vocabulary), end, 0, xxhash.xxh64()
+    def __init__(self, own: tiktoken.Encoding, end: int):
+        self.own, self.end, self.total, self.digest = own, end, 0, xxhash.xxh64()
 
-    def tokens(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, np.ndarray]]:
+    def tokens(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, list[int]]]:
         """(doc_id, ids with the end) of each text."""
         for batch in batches:
-            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = body.as_py()
+            for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 self.digest.update(b"%d:" % len(raw))
                 self.digest.update(raw)
                 ids = self.own.encode_ordinary(raw.decode("utf-8", "replace"))
                 ids.append(self.end)
                 self.total += len(ids)
-                yield doc, np.array(ids, dtype=np.int32)
+                yield doc, ids
 
 
 def materialise(docs: DataFrame, vocabulary: str, out: str, key: int = 1, length: int = 512, per_shard: int = 4096, end: int = 50256, pad: int = 0, written_first: bool = True) -> DataFrame:
@@ -130,12 +130,14 @@ def materialise(docs: DataFrame, vocabulary: str, out: str, key: int = 1, length
         src = written(src, "shard-texts")
     kind = dict(src.dtypes)["doc_id"]
     src = src.select("doc_id", text_bytes().alias("body"))
-    file = spark.sparkContext.broadcast(Path(vocabulary).read_bytes())
+    file, worker = spark.sparkContext.broadcast(Path(vocabulary).read_bytes()), uuid.uuid4().hex
     top = max(end, pad, len(file.value.splitlines()))
-    dtype = np.dtype("<u2") if top < 1 << 16 else np.dtype("<u4")
+    dtype, code = (np.dtype("<u2"), "H") if top < 1 << 16 else (np.dtype("<u4"), "I")
+    if sys.byteorder != "little":
+        raise NotImplementedError("records are little endian")
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = Stream(file.value, end)
+        s = Stream(per_worker(worker, lambda: encoding(file.value)), end)
         for _ in s.tokens(batches):
             pass
         yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "n": [-(-s.total // length)], "digest": [s.digest.hexdigest()]})
@@ -148,31 +150,39 @@ def materialise(docs: DataFrame, vocabulary: str, out: str, key: int = 1, length
     order = Permutation(max(1, total), key)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = Stream(file.value, end)
+        s = Stream(per_worker(worker, lambda: encoding(file.value)), end)
         start, digest = place.value[TaskContext.get().partitionId()]
-        held, owners, size, number = [], [], 0, start
+        held, owners, number = bytearray(), [], start
 
         def records(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal held, owners, size, number
-            ids = np.concatenate(held) if held else np.zeros(0, dtype=np.int32)
+            """A row for each shard that what is held has records for."""
+            nonlocal held, owners, number
+            ids = np.frombuffer(bytes(held), dtype=dtype)
             ends = np.cumsum([n for _, n in owners])
             k = -(-len(ids) // length) if last else len(ids) // length
             if not k:
                 return
             full = np.full(k * length, pad, dtype=dtype)
             full[: min(len(ids), k * length)] = ids[: k * length]
+            full = full.reshape(k, length)
             first = np.searchsorted(ends, np.arange(k) * length, side="right")
             final = np.searchsorted(ends, np.minimum((np.arange(k) + 1) * length, len(ids)) - 1, side="right")
             slot = order.walk(np.arange(number, number + k))
-            doc_ids = [[d for d, _ in owners[a : b + 1]] for a, b in zip(first.tolist(), final.tolist(), strict=True)]
+            by = np.argsort(slot, kind="stable")
+            shard = slot[by] // per_shard
+            edges = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
+            n = np.minimum(length, len(ids) - np.arange(k) * length)
+            docs_of = [[d for d, _ in owners[a : b + 1]] for a, b in zip(first[by].tolist(), final[by].tolist(), strict=True)]
+            offsets = pa.array(np.r_[edges, k].astype(np.int32))
+            each = lambda v, kind=pa.int64(): pa.ListArray.from_arrays(offsets, pa.array(v, kind))
+            z = [packed(full[by[a:b]]) for a, b in zip(edges.tolist(), [*edges[1:].tolist(), k], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(slot), pa.array(slot // per_shard), pa.array(np.arange(number, number + k)), pa.array(np.minimum(length, len(ids) - np.arange(k) * length)), pa.array(doc_ids, pa.list_(names[0])), pa.array([packed(r) for r in full.reshape(k, length)], pa.binary())],
-                names=["slot", "shard", "number", "n_tokens", "doc_ids", "ids"],
+                [pa.array(shard[edges]), each(slot[by]), each(number + by), each(n[by]), each(docs_of, pa.list_(names[0])), pa.array(z, pa.binary())],
+                names=["shard", "slot", "number", "n_tokens", "doc_ids", "ids"],
             )
-            rest = len(ids) - min(len(ids), k * length)
-            done = len(ids) - rest
-            owners = [(d, int(e) - max(done, int(e) - n)) for (d, n), e in zip(owners, ends, strict=True) if e > done]
-            held, number, size = [ids[done:]], number + k, rest
+            done = min(len(ids), k * length)
+            owners = [(d, int(e) - max(done, int(e) - m)) for (d, m), e in zip(owners, ends, strict=True) if e > done]
+            held, number = held[done * dtype.itemsize :], number + k
 
         names: list = []
 
@@ -182,21 +192,23 @@ def materialise(docs: DataFrame, vocabulary: str, out: str, key: int = 1, length
                 yield b
 
         for doc, ids in s.tokens(typed(batches)):
-            held.append(ids)
+            held += array(code, ids).tobytes()
             owners.append((doc, len(ids)))
-            size += len(ids)
-            if size > 1 << 20:
+            if len(held) > 1 << 22:
                 yield from records(last=False)
         yield from records(last=True)
         if s.digest.hexdigest() != digest:
             raise RuntimeError("a partition of docs changed between the passes; use written_first")
 
-    dealt = src.mapInArrow(deal, f"slot long, shard long, number long, n_tokens long, doc_ids array<{kind}>, ids binary")
+    dealt = src.mapInArrow(deal, f"shard long, slot array<long>, number array<long>, n_tokens array<long>, doc_ids array<array<{kind}>>, ids binary")
 
     def write(group: pa.Table) -> pa.Table:
-        group = group.sort_by("slot")
-        shard = group.column("shard")[0].as_py()
-        records = [unpacked(i, dtype.itemsize) for i in group.column("ids").to_pylist()]
+        shard, size = group.column("shard")[0].as_py(), length * dtype.itemsize
+        flat = {n: pa.concat_arrays([c.flatten() for c in group.column(n).chunks]) for n in ("slot", "number", "n_tokens", "doc_ids")}
+        raw = b"".join([unpacked(i, dtype.itemsize) for i in group.column("ids").to_pylist()])
+        by = np.argsort(flat["slot"].to_numpy(), kind="stable")
+        flat = {n: v.take(pa.array(by)) for n, v in flat.items()}
+        records = [raw[i * size : (i + 1) * size] for i in by.tolist()]
         store, base = fs.FileSystem.from_uri(out)
         store.create_dir(base, recursive=True)
         temporary = f"{base}/.shard-{shard:08d}-{uuid.uuid4().hex}"
@@ -204,9 +216,8 @@ def materialise(docs: DataFrame, vocabulary: str, out: str, key: int = 1, length
             for record in records:
                 f.write(record)
         store.move(temporary, f"{base}/shard-{shard:08d}.bin")
-        offset = (group.column("slot").to_numpy() - shard * per_shard) * length * dtype.itemsize
-        kept = {n: group.column(n) for n in ("slot", "shard", "number", "n_tokens", "doc_ids")}
-        return pa.table(kept | {"byte_offset": pa.array(offset), "record_sha256": pa.array([hashlib.sha256(r).hexdigest() for r in records], pa.string())})
+        offset = (flat["slot"].to_numpy() - shard * per_shard) * size
+        return pa.table({"slot": flat["slot"], "shard": pa.array([shard] * len(by), pa.int64())} | {n: flat[n] for n in ("number", "n_tokens", "doc_ids")} | {"byte_offset": pa.array(offset), "record_sha256": pa.array([hashlib.sha256(r).hexdigest() for r in records], pa.string())})
 
     # Slots are a permutation: every shard but the last has per_shard records, so shards need no salt.
     schema = f"slot long, shard long, number long, n_tokens long, doc_ids array<{kind}>, byte_offset long, record_sha256 string"
