@@ -1,7 +1,8 @@
 """Secret scans: pattern candidates, judged by a random forest. DataFrame functions only.
 
 Candidates are long runs of key characters that hold a digit, known key
-formats, and values assigned to a name like `token` or `password`. The forest
+formats, and values assigned to a name like `token` or `secret_key` or following
+`Bearer`. The forest
 weighs length, character transitions, how much of the candidate dictionary
 words cover, whether it looks like or stands in a path, and the words beside
 it, so that hashes, identifiers, file names and placeholders are left alone.
@@ -51,9 +52,13 @@ DICTIONARY = [
     "your", "user", "name", "test", "data", "file", "path", "home", "page", "with", "from", "this", "that", "here", "insert", "replace", "event", "state", "time", "date", "type", "list", "item", "key",
 ]
 #: What may hold a secret: a value given to a telling name, and a long run with a digit in it.
-LEAD = r"(?:[tT]oken|TOKEN|[sS]ecret|SECRET|[pP]assword|PASSWORD|[pP]asswd|[aA]pi_?[kK]ey|API_?KEY)[\"']? ?[=:] ?[\"']?"
+#: The names are those of FOR in any case, with an ending (secret_key, tokenId, password_hash); a bearer's value needs no sign.
+#: A value that holds a known format is left to it. Blanks are named one by one: \s is not the same everywhere.
+NAME = "(?i:" + "|".join(sorted(FOR, key=len, reverse=True)) + ")(?:s|(?i:orization))?(?:[_-][A-Za-z0-9]+|[A-Z0-9][a-z0-9]*){0,6}"
+LEAD = "(?:" + NAME + r"[\"']?[ \t]*[=:][ \t]*|(?i:bearer)[ \t]+)[\"']?"
+VALUE = r"[^ \t\n\x0B\f\r\"'<>,;]"
 RUN = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*+[0-9])[A-Za-z0-9+/_\-]{20,}+={0,2}"
-CANDIDATE = "|".join([*(p for _, p in FORMATS), LEAD + r"[^\s\"'<>,;]{8,}+", RUN])
+CANDIDATE = "|".join([*(p for _, p in FORMATS), LEAD + "(?!" + VALUE + "*?(?:" + "|".join(p for _, p in FORMATS) + "))" + VALUE + "{8,}+", RUN])
 #: Characters beside a candidate that are looked at.
 BESIDE = 48
 FEATURES = [
@@ -86,8 +91,8 @@ def feature_columns(before: Column, cand: Column, after: Column) -> list[Column]
         is_(low.rlike("^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$")),
         is_(cand.rlike("^(?:" + "|".join(p for _, p in FORMATS) + ")")),
         is_(low.rlike(r"(.)\1{4,}|(.{2,4})\2{3,}")), is_(low.rlike("01234567|12345678|abcdefgh|deadbeef|87654321|qwerty")),
-        is_(before.rlike(word(FOR) + r"[^A-Za-z0-9]{0,12}$")), is_(before.rlike(word(AGAINST) + r"[^A-Za-z0-9]{0,8}$")),
-        is_(before.rlike(r"[=:]\s?[\"']?$")), is_(before.rlike("[\"'`]$")), is_(after.rlike("^[^A-Za-z0-9]{0,4}" + word(AGAINST))),
+        is_(before.rlike(word(FOR) + r"(?:[_-][A-Za-z0-9]+){0,6}[^A-Za-z0-9]{0,12}$")), is_(before.rlike(word(AGAINST) + r"[^A-Za-z0-9]{0,8}$")),
+        is_(before.rlike(r"[=:]\s*[\"']?$|(?i:bearer)\s+[\"']?$")), is_(before.rlike("[\"'`]$")), is_(after.rlike("^[^A-Za-z0-9]{0,4}" + word(AGAINST))),
         count_of(cand, "[_-](?=[A-Za-z]{3,}(?:[_-]|$))"),
     ]
 
@@ -109,19 +114,29 @@ def labelled(spark: SparkSession, rows: int = 3000, seed: int = 5) -> DataFrame:
             lambda: "AIza" + of(body + "_-", 35), lambda: "eyJ" + of(mixed, 20) + ".eyJ" + of(mixed, 30) + "." + of(mixed + "_-", 40),
         ][kind]()
 
+    def chosen() -> str:
+        """What people or programs choose: short, with signs, or without digits."""
+        body = rng.choice([mixed, mixed[:52]])
+        word = lambda: rng.choice([str.title, str.upper, str])(of("bcdfghlmnprstaeiou", rng.randint(4, 7)))
+        return [
+            lambda: of(mixed + "!$%&*@#?^", rng.randint(8, 19)), lambda: of(body, rng.randint(12, 40)),
+            lambda: word() + of("!$%&*@#?^", 1) + of("0123456789", rng.randint(1, 4)) + word(), lambda: rng.choice("SPT") + of("0123456789", 1) + of("cdrstw", 3) + of("!$@#", 1) + word(),
+        ][rng.randrange(4)]()
+
     def used() -> tuple[str, str, str]:
-        k = key()
+        plain = rng.random() < 0.4
+        k = chosen() if plain else key()
         own = k.startswith(("AKIA", "ghp_", "sk_live_", "xoxb-", "AIza", "eyJ"))
-        name = rng.choice(FOR[:-1] + [w.upper() for w in FOR[:-1]])
+        name = rng.choice(FOR[:-1] + [w.upper() for w in FOR[:-1]]) + rng.choice(["", "", "", "_key", "_id", "_hash", "_value"])
         quote = rng.choice(['"', '"', "'", ""])
-        lead = rng.choice([f"{name} = {quote}", f"{name}={quote}", f"{name}: {quote}", f'"{name}": "', "Authorization: Bearer "])
+        lead = rng.choice([f"{name} = {quote}", f"{name}={quote}", f"{name}: {quote}", f'"{name}": "', f"{name}  =  {quote}", "Authorization: Bearer "])
         if own and rng.random() < 0.5:
             quote = rng.choice(["", "", "'", '"'])
             lead = rng.choice(["", " ", "use ", "with ", "= "]) + quote
         return prose() + rng.choice([" ", "\n", " | "]) + lead, k, quote + rng.choice(["", " ", ",", "\n"]) + prose()
 
     def mistaken() -> tuple[str, str, str]:
-        kind, n = rng.randrange(11), str(rng.randint(1, 99))
+        kind, n = rng.randrange(14), str(rng.randint(1, 99))
         lead, cand = [
             lambda: (rng.choice([f"{w} " for w in AGAINST[:12]] + [f"{w}: " for w in AGAINST[:12]]), of(hexes, rng.choice([32, 40, 64]))),
             lambda: ("", of(hexes, 8) + "-" + of(hexes, 4) + "-4" + of(hexes, 3) + "-a" + of(hexes, 3) + "-" + of(hexes, 12)),
@@ -134,6 +149,9 @@ def labelled(spark: SparkSession, rows: int = 3000, seed: int = 5) -> DataFrame:
             lambda: (rng.choice(["https://cdn.example/", "img/"]), of(hexes, 32) + rng.choice(["/", "_small", "-large"]) + "image" + n),
             lambda: (rng.choice(["password = ", "token: "]), rng.choice(["os.environ", "getpass.getpass()", "settings.TOKEN", "request.headers", "None-or-default", "process.env.TOKEN", "${SECRET_TOKEN}"])),
             lambda: (" ", of(mixed[:26], rng.randint(20, 30)).lower() + "_" + words(2, "_") + n),
+            lambda: (rng.choice(FOR) + rng.choice([": ", " : ", "="]), rng.choice(["required", "incorrect", "forgotten", "available", "important", "different", "questions", "everything", "authentication", "information", "undefined", "generated", "encrypted"])),
+            lambda: (rng.choice(["author: ", "Authors: ", "bearer ", "key: ", "keys: ", "private: ", "Bearer "]), rng.choice([str.title, str, str])("".join(of("bcdfghlmnprst", 1) + of("aeiou", 1) for _ in range(rng.randint(4, 6))) + rng.choice(["", "s", ".", "n"]))),
+            lambda: (rng.choice(FOR) + rng.choice(["_id", "_name", ""]) + rng.choice([" = ", ": ", "="]), rng.choice(["self.", "config.", "request.", "get_", "os.", "$"]) + words(rng.randint(1, 2), rng.choice([".", "_"])) + rng.choice(["", "()", "(x)"])),
         ][kind]()
         return prose() + " " + lead, cand, rng.choice(["", " ", "\"", ".html", "/"]) + prose()
 
