@@ -30,9 +30,11 @@ def project(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is named."""
+    """The folder that driver and executors share; one of our own only where none is named, and only on one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -42,8 +44,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """df written as Parquet in the shared folder and read again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tidemark_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes what written() wrote; for tables that nothing still to be worked out reads."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(df._tidemark_path)
+    path.getFileSystem(conf).delete(path, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
