@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import pickle
+import json
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.streaming.hold import COUNTS, Hold
+from tidemark.streaming.hold import COUNTS, Group, Hold, Shelf
 
 #: Wire events: frame, end, group (a fetched frame; its end follows), gone, restarted, finished.
 EVENTS = "track string, arrival long, event string, grp long, frame_in_group long, decodable boolean, payload binary"
@@ -61,22 +61,39 @@ def framed(rows: list[dict]) -> pd.DataFrame:
     return df.where(df.notna(), None)
 
 
+GROUP = "frames array<binary>, got int, over boolean, sync boolean, retaken boolean, skip int"
+
+
 class Ordering(StatefulProcessor):
-    """The hold as a stateful processor: its state is the hold, its timer the moment that the hold waits for."""
+    """The hold as a stateful processor: one state for each held group, one for the rest; its timer is the moment that the hold waits for."""
 
     def __init__(self, **options):
         self.options = options
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("hold", "data binary")
+        self.mind = handle.getValueState("mind", "data string")
+        self.groups = handle.getMapState("groups", "grp long", GROUP)
 
     def _hold(self) -> Hold:
-        kept = self.state.get()
-        return Hold.of(pickle.loads(kept[0])) if kept is not None else Hold(**self.options)
+        kept = self.mind.get()
+        if kept is None:
+            return Hold(**self.options)
+
+        def read(number: int) -> Group:
+            frames, got, over, sync, retaken, skip = self.groups.getValue((number,))
+            return Group([bytes(f) for f in frames], got, over, sync, retaken, skip)
+
+        return Hold.of(json.loads(kept[0]), Shelf([k[0] for k in self.groups.keys()], read))
 
     def _keep(self, hold: Hold) -> None:
-        self.state.update((pickle.dumps(hold.state()),))
+        for number in hold.shelf.touched:
+            if number in hold.shelf:
+                g = hold.shelf.loaded[number]
+                self.groups.updateValue((number,), (g.frames, g.got, g.over, g.sync, g.retaken, g.skip))
+            elif self.groups.containsKey((number,)):
+                self.groups.removeKey((number,))
+        self.mind.update((json.dumps(hold.scalars()),))
         for timer in list(self.handle.listTimers()):  # another would fire beside, not instead
             self.handle.deleteTimer(timer[0] if isinstance(timer, tuple) else timer)
         if not hold.ended:
