@@ -114,7 +114,9 @@ def aac_duration_us(rate: Column) -> Column:
 
 def h264_keyframe(sample: Column) -> Column:
     """Whether an Annex B sample holds an IDR unit."""
-    units = F.split(F.hex(sample), "(?:00)?000001")
+    # The hex text is parted into bytes, so that a start code never begins in the middle of one.
+    units = F.transform(F.split(F.regexp_replace(F.hex(sample), "(..)", "$1 "), "(?:00 )?00 00 01 "), lambda u: F.replace(u, F.lit(" "), F.lit("")))
+    units = F.slice(units, 2, F.size(units))  # what stands before the first start code is no unit
     return F.exists(units, lambda u: (F.length(u) >= 2) & (F.conv(F.substring(u, 1, 2), 16, 10).cast("int").bitwiseAND(31) == 5))
 
 

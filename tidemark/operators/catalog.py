@@ -126,11 +126,23 @@ def relation(rows: DataFrame) -> DataFrame:
 
 
 def ports(rows: DataFrame) -> DataFrame:
-    """rows with port: the name in safe characters; empty or taken already, it gets the track's index."""
-    safe = F.regexp_replace("name", "[^A-Za-z0-9_-]", "_")
-    again = F.row_number().over(Window.partitionBy("broadcast", "__safe").orderBy("ordinal")) > 1
-    at = rows.withColumn("__safe", safe)
-    return at.withColumn("port", F.when((F.col("__safe") == "") | again, F.concat("__safe", F.lit("-"), F.col("ordinal").cast("string"))).otherwise(F.col("__safe"))).drop("__safe")
+    """rows with port: the name in safe characters; empty or given to a port before, it gets the track's index.
+
+    A name may clash with a port that an index made, so a broadcast's tracks (a handful) are folded in order.
+    """
+    each = rows.groupBy("broadcast").agg(F.sort_array(F.collect_list(F.struct("ordinal", F.regexp_replace("name", "[^A-Za-z0-9_-]", "_").alias("safe")))).alias("__t"))
+
+    def named(given: Column, t: Column) -> Column:
+        safe = F.coalesce(t["safe"], F.lit(""))
+        clash = (safe == "") | F.exists(given, lambda g: g["port"] == safe)
+        port = F.when(clash, F.concat(safe, F.lit("-"), t["ordinal"].cast("string"))).otherwise(safe)
+        return F.concat(given, F.array(F.struct(t["ordinal"].alias("ordinal"), port.alias("port"))))
+
+    kind = dict(rows.dtypes)["ordinal"]
+    none = F.from_json(F.lit("[]"), f"array<struct<ordinal:{kind},port:string>>")
+    given = each.select(F.col("broadcast").alias("__b"), F.explode(F.aggregate("__t", none, named)).alias("__p"))
+    at = given.select("__b", F.col("__p.ordinal").alias("__o"), F.col("__p.port").alias("port"))
+    return rows.join(at, rows["broadcast"].eqNullSafe(at["__b"]) & rows["ordinal"].eqNullSafe(at["__o"])).drop("__b", "__o")
 
 
 def track_names(pads: DataFrame, base: str = "video", audio: str = "audio", data: str = "data") -> DataFrame:

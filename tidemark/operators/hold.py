@@ -6,20 +6,18 @@ cursor of sequence numbers, never a watermark in time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.logs import running
+
 #: Incident rows of a track that are spelled out; more are counted only.
 INCIDENTS = 256
 
 
-def earlier() -> WindowSpec:
-    """A track's arrivals before this one."""
-    return Window.partitionBy("track").orderBy("arrival").rowsBetween(Window.unboundedPreceding, -1)
-
-
-def in_sequence() -> WindowSpec:
-    return Window.partitionBy("track").orderBy("seq")
+def earlier(rows: DataFrame) -> DataFrame:
+    """rows with top: the greatest seq of the track's arrivals before."""
+    return running(rows, "track", "arrival", before=True, top=("max", F.col("seq")))
 
 
 def arrivals(groups: DataFrame) -> DataFrame:
@@ -34,21 +32,20 @@ def arrivals(groups: DataFrame) -> DataFrame:
 
 def zero_patience(rows: DataFrame) -> DataFrame:
     """rows with late: an arrival at or under the greatest before it; the others are delivered."""
-    return rows.withColumn("late", F.coalesce(F.col("seq") <= F.max("seq").over(earlier()), F.lit(False)))
+    return earlier(rows).withColumn("late", F.coalesce(F.col("seq") <= F.col("top"), F.lit(False))).drop("top")
 
 
 def abandoned_holes(rows: DataFrame) -> DataFrame:
-    """Holes (from, to) that a hold without patience steps over, in order."""
-    told = zero_patience(rows).where("not late")
-    before = F.lag("seq").over(Window.partitionBy("track").orderBy("arrival"))
-    return told.withColumn("before", before).where("seq > before + 1").select("track", (F.col("before") + 1).alias("from_seq"), (F.col("seq") - 1).alias("to_seq"))
+    """Holes (from, to) that a hold without patience steps over, in order: what is delivered is past the greatest before it."""
+    told = earlier(rows).where("seq > top + 1")
+    return told.select("track", (F.col("top") + 1).alias("from_seq"), (F.col("seq") - 1).alias("to_seq"))
 
 
 def late_rows(rows: DataFrame) -> DataFrame:
     """Late arrivals with the cursor they fell under; of each track the first INCIDENTS only."""
-    told = rows.withColumn("cursor", F.max("seq").over(earlier()) + 1).where("seq < cursor")
-    n = F.row_number().over(Window.partitionBy("track").orderBy("arrival"))
-    return told.withColumn("n", n).where(F.col("n") <= INCIDENTS).select("track", F.col("seq").alias("grp"), "cursor", "arrival")
+    told = earlier(rows).withColumn("cursor", F.col("top") + 1)
+    nth = running(told, "track", "arrival", n=("sum", F.coalesce(F.col("seq") < F.col("cursor"), F.lit(False)).cast("long")))
+    return nth.where((F.col("seq") < F.col("cursor")) & (F.col("n") <= INCIDENTS)).select("track", F.col("seq").alias("grp"), "cursor", "arrival")
 
 
 def first_copies(rows: DataFrame) -> DataFrame:
@@ -58,8 +55,8 @@ def first_copies(rows: DataFrame) -> DataFrame:
 
 def patient_holes(rows: DataFrame) -> DataFrame:
     """Holes that a hold with endless patience gives up on at the end."""
-    told = first_copies(rows).withColumn("before", F.lag("seq").over(in_sequence()))
-    return told.where("seq > before + 1").select("track", (F.col("before") + 1).alias("from_seq"), (F.col("seq") - 1).alias("to_seq"), F.lit("end").alias("reason"))
+    told = running(first_copies(rows), "track", "seq", before=True, __b=("last", F.col("seq")))
+    return told.where("seq > __b + 1").select("track", (F.col("__b") + 1).alias("from_seq"), (F.col("seq") - 1).alias("to_seq"), F.lit("end").alias("reason"))
 
 
 def patient_counters(rows: DataFrame) -> DataFrame:
@@ -85,9 +82,8 @@ def live_join(rows: DataFrame) -> DataFrame:
     told = rows.join(join, "track", "left")
     # A group has gone out once it and all from c on are there; behind a hole it is held to the end.
     firsts = told.where("seq >= c").groupBy("track", "seq").agg(F.min("arrival").alias("first"), F.first("c").alias("c"), F.first("at").alias("at"))
-    whole = F.col("seq") - F.col("c") == F.row_number().over(in_sequence()) - 1
-    out = F.max(F.greatest("first", "at")).over(in_sequence().rowsBetween(Window.unboundedPreceding, 0))
-    gone = firsts.select("track", "seq", "first", F.when(whole, out).alias("out"))
+    nth = running(firsts, "track", "seq", __n=("sum", F.lit(1).cast("long")), out=("max", F.greatest("first", "at")))
+    gone = nth.select("track", "seq", "first", F.when(F.col("seq") - F.col("c") == F.col("__n") - 1, F.col("out")).alias("out"))
     told = told.join(gone, ["track", "seq"], "left")
     fate = (
         F.when(F.col("c").isNull(), "delivered")
@@ -101,11 +97,21 @@ def live_join(rows: DataFrame) -> DataFrame:
 
 
 def conservation(rows: DataFrame) -> DataFrame:
-    """Of each track what a hold without patience received, and what became of it; balanced must hold."""
-    told = zero_patience(rows).groupBy("track").agg(
-        F.count("*").alias("received"), F.count_if(~F.col("late")).alias("delivered"), F.count_if("late").alias("dropped_late"),
-    )
-    return told.withColumn("balanced", F.col("received") == F.col("delivered") + F.col("dropped_late"))
+    """Of each track what a hold without patience received, and what became of it, each counted by itself.
+
+    received: all arrivals; delivered: groups that left, told apart by number; dropped_late: arrivals under the
+    cursor; passed_over: numbers that holes gave up. balanced: every arrival has one fate, and what left and what
+    was given up are all the numbers from the first to the last.
+    """
+    told = earlier(rows)
+    came = rows.groupBy("track").agg(F.count("*").alias("received"), F.max("seq").alias("last"), F.min_by("seq", "arrival").alias("first"))
+    left = told.where("top is null or seq > top").groupBy("track").agg(F.count_distinct("seq").alias("delivered"))
+    late = told.where("seq <= top").groupBy("track").agg(F.count("*").alias("dropped_late"))
+    holes = abandoned_holes(rows).groupBy("track").agg(F.sum(F.col("to_seq") - F.col("from_seq") + 1).alias("passed_over"))
+    both = came.join(left, "track", "left").join(late, "track", "left").join(holes, "track", "left")
+    n = {c: F.coalesce(c, F.lit(0)) for c in ("delivered", "dropped_late", "passed_over")}
+    fair = (F.col("received") == n["delivered"] + n["dropped_late"]) & (F.col("last") - F.col("first") + 1 == n["delivered"] + n["passed_over"])
+    return both.select("track", "received", *[v.alias(c) for c, v in n.items()], fair.alias("balanced"))
 
 
 def fetch_lookup(asks: DataFrame, kept: DataFrame) -> DataFrame:

@@ -1,12 +1,14 @@
 """Ordered, per-track logs: numbering, group cuts, accounting.
 
-Running counts over a track are two-level: a window inside chunks of the order
-column, and the chunks' totals before it. A track of any length is so dealt over
-as many tasks as it has chunks; only one row for each chunk meets in a window.
+What runs along a track (counts, maxima, the last value) is two-level: a window
+inside chunks of the order column, and the chunks' own totals before it. A track
+of any length is so dealt over as many tasks as it has chunks; only one row for
+each chunk meets in a window. Rows without a key are a track of their own.
 """
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,15 +20,53 @@ from pyspark.sql import functions as F
 CHUNK = 1 << 20
 
 
+def running(df: DataFrame, key: str, order: str, chunk: int = CHUNK, before: bool = False, **out: tuple[str, Column]) -> DataFrame:
+    """df with running values of each key in the order of an integer column, several in one pass.
+
+    out: name=(kind, value); kind is sum, max or last (the last value that isn't null).
+    Up to and with the row, or up to the row before. A sum of nothing is 0, else nothing is null.
+    """
+    names = list(out)
+    held = [f"__v{i}" for i in range(len(names))]
+    cut = df.withColumns({"__chunk": F.floor(F.col(order) / chunk), **{v: out[n][1] for v, n in zip(held, names, strict=True)}})
+    inside = Window.partitionBy(key, "__chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1 if before else 0)
+    earlier = Window.partitionBy("__key").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    over = {"sum": F.sum, "max": F.max, "last": lambda c: F.last(c, ignorenulls=True)}
+    total = {"sum": F.sum, "max": F.max, "last": lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order)))}
+    kinds = dict(zip(held, (out[n][0] for n in names), strict=True))
+    totals = cut.groupBy(F.col(key).alias("__key"), F.col("__chunk").alias("__at")).agg(*[total[k](v).alias(v) for v, k in kinds.items()])
+    starts = totals.select("__key", "__at", *[over[k](v).over(earlier).alias(f"{v}s") for v, k in kinds.items()])
+    local = cut.withColumns({f"{v}l": over[k](v).over(inside) for v, k in kinds.items()})
+    met = local.join(starts, local[key].eqNullSafe(starts["__key"]) & local["__chunk"].eqNullSafe(starts["__at"]))
+    both = {
+        "sum": lambda v: F.coalesce(F.col(f"{v}l"), F.lit(0)) + F.coalesce(F.col(f"{v}s"), F.lit(0)),
+        "max": lambda v: F.greatest(f"{v}l", f"{v}s"),
+        "last": lambda v: F.coalesce(f"{v}l", f"{v}s"),
+    }
+    return met.withColumns({n: both[out[n][0]](v) for v, n in zip(held, names, strict=True)}).select(*[c for c in df.columns if c not in out], *names)
+
+
 def running_sum(df: DataFrame, key: str, order: str, value: Column, out: str, chunk: int = CHUNK) -> DataFrame:
     """df with the sum of value over each key up to and with its row, in the order of an integer column."""
-    cut = df.withColumn("__chunk", F.floor(F.col(order) / chunk)).withColumn("__value", value.cast("long"))
-    inside = Window.partitionBy(key, "__chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    totals = cut.groupBy(key, "__chunk").agg(F.sum("__value").alias("__total"))
-    before = Window.partitionBy(key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(key, "__chunk", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__start"))
-    local = cut.withColumn("__local", F.sum("__value").over(inside))
-    return local.join(starts, [key, "__chunk"]).withColumn(out, F.col("__local") + F.col("__start")).drop("__chunk", "__value", "__local", "__start")
+    return running(df, key, order, chunk, **{out: ("sum", value.cast("long"))})
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df worked out once, in the folder that driver and executors share: for what several branches of a query read."""
+    context = df.sparkSession.sparkContext
+    if not (df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tidemark-"))
+    return df.checkpoint()
+
+
+def packets(events: DataFrame) -> DataFrame:
+    """An event table as packets of tracks, not numbered yet."""
+    return events.select(
+        F.col("event_type").alias("track"), "event_id", (F.col("event_id") % 7 == 0).alias("keyframe"),
+        F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts)").alias("pts_us"), F.col("props").alias("payload"), "user_id", "value",
+    )
 
 
 def wire(events: DataFrame) -> DataFrame:
@@ -34,11 +74,15 @@ def wire(events: DataFrame) -> DataFrame:
 
     track, frame_no (from 0), keyframe, pts_us (since 2024-01-01), payload, event_id, user_id, value.
     """
-    base = events.select(
-        F.col("event_type").alias("track"), "event_id", (F.col("event_id") % 7 == 0).alias("keyframe"),
-        F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts)").alias("pts_us"), F.col("props").alias("payload"), "user_id", "value",
-    )
-    return running_sum(base, "track", "event_id", F.lit(1), "frame_no").withColumn("frame_no", F.col("frame_no") - 1)
+    return running_sum(packets(events), "track", "event_id", F.lit(1), "frame_no").withColumn("frame_no", F.col("frame_no") - 1)
+
+
+def wire_by_keyframe(events: DataFrame) -> DataFrame:
+    """wire() and cut_keyframes() in one pass: a track's first frame opens a group, whether a keyframe or not."""
+    n = {"frame_no": ("sum", F.lit(1).cast("long")), "grp": ("sum", F.col("keyframe").cast("long")), "__less": ("max", F.lit(-1) * F.col("event_id"))}
+    rows = running(packets(events), "track", "event_id", **n)
+    opened = F.when(-F.col("__less") % 7 == 0, 1).otherwise(0)  # the first frame of the track has counted itself
+    return rows.withColumns({"frame_no": F.col("frame_no") - 1, "grp": F.col("grp") - opened}).drop("__less")
 
 
 def cut_keyframes(frames: DataFrame) -> DataFrame:
@@ -97,8 +141,8 @@ def group_rows(frames: DataFrame) -> DataFrame:
 
 def track_totals(groups: DataFrame) -> DataFrame:
     """Running totals of each track after each of its groups, of group_rows."""
-    w = Window.partitionBy("track").orderBy("grp").rowsBetween(Window.unboundedPreceding, 0)
-    return groups.select("track", "grp", F.count("*").over(w).alias("groups"), F.sum("packets").over(w).alias("packets"), F.sum("bytes").over(w).alias("bytes"), F.max("pts_end").over(w).alias("media"))
+    own = groups.select("track", "grp", F.col("packets").alias("p"), F.col("bytes").alias("b"), F.col("pts_end").alias("e"))
+    return running(own, "track", "grp", groups=("sum", F.lit(1).cast("long")), packets=("sum", F.col("p")), bytes=("sum", F.col("b")), media=("max", F.col("e"))).drop("p", "b", "e")
 
 
 def trailing_row(groups: DataFrame) -> DataFrame:
@@ -109,25 +153,33 @@ def trailing_row(groups: DataFrame) -> DataFrame:
 
 def monotone(frames: DataFrame) -> DataFrame:
     """frames with pts_out: the greatest pts so far on the track, so that none goes back."""
-    w = Window.partitionBy("track").orderBy("frame_no").rowsBetween(Window.unboundedPreceding, 0)
-    return frames.withColumn("pts_out", F.max("pts_us").over(w))
+    return running(frames, "track", "frame_no", pts_out=("max", F.col("pts_us")))
+
+
+def _gated(frames: DataFrame) -> Column:
+    """Whether a frame's track waits for a keyframe: audio and data, where kind tells, begin anywhere."""
+    return ~F.coalesce(F.col("kind").isin("audio", "data"), F.lit(False)) if "kind" in frames.columns else F.lit(True)
 
 
 def join_gate(frames: DataFrame) -> DataFrame:
-    """frames from each track's first keyframe on (in each epoch, where there is one)."""
+    """frames from each track's first keyframe on (in each epoch, where there is one); of audio and data, where kind tells, all."""
     keys = ["track", *(["epoch"] if "epoch" in frames.columns else [])]
-    first = frames.where("keyframe").groupBy(*keys).agg(F.min("frame_no").alias("__first"))
-    return frames.join(first, keys).where(F.col("frame_no") >= F.col("__first")).drop("__first")
+    opens = F.col("keyframe") | ~_gated(frames)
+    first = frames.where(opens).groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.min("frame_no").alias("__first"))
+    same = F.lit(True)
+    for k in keys:
+        same &= frames[k].eqNullSafe(first[f"__{k}"])
+    return frames.join(first, same).where(F.col("frame_no") >= F.col("__first")).select(*[frames[c] for c in frames.columns])
 
 
 def reordered(frames: DataFrame) -> DataFrame:
     """frames whose pts is no later than the one before on the track: an encoder that reorders is refused."""
-    w = Window.partitionBy("track").orderBy("frame_no")
-    return frames.withColumn("before", F.lag("pts_us").over(w)).where("pts_us <= before")
+    return running(frames, "track", "frame_no", before=True, __b=("last", F.col("pts_us"))).withColumnRenamed("__b", "before").where("pts_us <= before")
 
 
 def decisive(frames: DataFrame) -> DataFrame:
-    """Of each group whether a decoder can begin at it: what its first frame with a sample says; audio and data always can."""
+    """Of each group whether a decoder can begin at it: what its first frame with a sample says; audio and data, where kind tells, always can."""
     sample = F.octet_length("payload") > 0
     first = F.min_by(F.when(sample, F.col("keyframe")), F.when(sample, F.col("frame_no")))
-    return frames.groupBy("track", "grp").agg(F.coalesce(first, F.lit(False)).alias("decodable"))
+    free = F.bool_or(~_gated(frames))
+    return frames.groupBy("track", "grp").agg((free | F.coalesce(first, F.lit(False))).alias("decodable"))

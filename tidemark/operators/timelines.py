@@ -9,6 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.logs import running
+
+#: Microseconds that a chunk of a timeline spans, a little over a day.
+SPAN = 1 << 37
+
 
 def asof(left: DataFrame, right: DataFrame, key: str, time: str, values: list[str], forward: bool = True) -> DataFrame:
     """left with right_<c> of the right row of the same key that is next in time (or last, backward); equal times meet.
@@ -64,10 +69,10 @@ def above_floor(rows: DataFrame, key: str, time: str, late: str, reach: int) ->
 
 def batches(rows: DataFrame, key: str, time: str, gap: int) -> DataFrame:
     """key, batch (from 0), packets: a packet that comes gap or more after the last one opens a batch."""
-    w = Window.partitionBy(key).orderBy(time)
-    opens = F.coalesce((F.col(time) - F.lag(time).over(w) >= gap).cast("long"), F.lit(0))
-    nth = F.sum("opens").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return rows.withColumn("opens", opens).withColumn("batch", nth).groupBy(key, "batch").agg(F.count("*").alias("packets"))
+    once = rows.groupBy(key, time).agg(F.count("*").alias("__n"))
+    stepped = running(once, key, time, SPAN, before=True, __b=("last", F.col(time)))
+    opens = F.coalesce((F.col(time) - F.col("__b") >= gap).cast("long"), F.lit(0))
+    return running(stepped, key, time, SPAN, batch=("sum", opens)).groupBy(key, "batch").agg(F.sum("__n").alias("packets"))
 
 
 def at_rank(value: str, share: float) -> Column:
@@ -103,10 +108,11 @@ def drift(rows: DataFrame, key: str, time: str, late: str, span: int) -> DataFra
 
 def widest_gap(rows: DataFrame, key: str, order: str, time: str) -> DataFrame:
     """The widest step of the running greatest time."""
-    top = F.max(time).over(Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
-    return rows.withColumn("__gap", F.col(time) - top).groupBy(key).agg(F.max("__gap").alias("widest"))
+    top = running(rows, key, order, before=True, __top=("max", F.col(time)))
+    return top.groupBy(key).agg(F.max(F.col(time) - F.col("__top")).alias("widest"))
 
 
 def report_windows(rows: DataFrame, key: str, order: str) -> DataFrame:
     """rows with window: a track's n-th row belongs to the n-th summary window."""
-    return rows.withColumn("window", F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1)
+    nth = running(rows, key, order, window=("sum", F.lit(1).cast("long")))
+    return nth.withColumn("window", (F.col("window") - 1).cast("int"))

@@ -41,11 +41,12 @@ def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyframe_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logs.group_rows(logs.cut_keyframes(wire(spark, sf_dir)))
+    return logs.group_rows(logs.wire_by_keyframe(table(spark, sf_dir, "events")))
 
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hold.arrivals(keyframe_groups(spark, sf_dir).select("track", "grp"))
+    # Every branch of what is asked of arrivals reads the one table that is written here.
+    return logs.kept(hold.arrivals(keyframe_groups(spark, sf_dir).select("track", "grp")))
 
 
 @query(", x AS (SELECT 1) SELECT * FROM gr")
@@ -243,6 +244,33 @@ def track_names(spark, sf_dir):
     return catalog.track_names(pads(spark, sf_dir)).select("broadcast", "ordinal", "track")
 
 
+SPOKEN = """, w AS (SELECT track, CAST(event_id % 3 AS INTEGER) AS epoch, frame_no, keyframe AND track <> 'search' AS keyframe, payload, CASE track WHEN 'view' THEN 'audio' WHEN 'search' THEN 'data' ELSE 'video' END AS kind, event_id FROM wire)"""
+
+
+def spoken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracks of all kinds in epochs; one track of data has no keyframe at all."""
+    kind = F.when(F.col("track") == "view", "audio").when(F.col("track") == "search", "data").otherwise("video")
+    return wire(spark, sf_dir).withColumns({"epoch": (F.col("event_id") % 3).cast("int"), "kind": kind, "keyframe": F.col("keyframe") & (F.col("track") != "search")})
+
+
+@query(SPOKEN + ", f AS (SELECT track, epoch, min(frame_no) AS f FROM w WHERE keyframe OR kind <> 'video' GROUP BY ALL) SELECT w.track, w.epoch, w.frame_no, w.event_id FROM w JOIN f USING (track, epoch) WHERE w.frame_no >= f")
+def join_gate_kinds(spark, sf_dir):
+    return logs.join_gate(spoken(spark, sf_dir)).select("track", "epoch", "frame_no", "event_id")
+
+
+@query(SPOKEN + " SELECT track, frame_no // 8 AS grp, bool_or(kind <> 'video') OR coalesce(arg_min(keyframe, frame_no) FILTER (strlen(payload) > 0), false) AS decodable FROM w GROUP BY ALL")
+def decisive_frame_kinds(spark, sf_dir):
+    return logs.decisive(spoken(spark, sf_dir).withColumn("grp", F.expr("frame_no div 8")))
+
+
+@query("WITH RECURSIVE p AS (SELECT CAST(p_partkey // 8 AS BIGINT) AS b, CAST(p_partkey % 8 AS INTEGER) AS o, CASE p_partkey * 7 % 5 WHEN 0 THEN 'a' WHEN 1 THEN 'a-' || (p_partkey % 3) WHEN 2 THEN 'a b' WHEN 3 THEN '' ELSE 'a_b-1' END AS n FROM part), q AS (SELECT b, o, regexp_replace(n, '[^A-Za-z0-9_-]', '_', 'g') AS s, row_number() OVER (PARTITION BY b ORDER BY o) AS i FROM p), r AS (SELECT b, o, i, CASE WHEN s = '' THEN '-' || o ELSE s END AS port, [CASE WHEN s = '' THEN '-' || o ELSE s END] AS used FROM q WHERE i = 1 UNION ALL SELECT q.b, q.o, q.i, CASE WHEN s = '' OR list_contains(used, s) THEN s || '-' || q.o ELSE s END, list_append(used, CASE WHEN s = '' OR list_contains(used, s) THEN s || '-' || q.o ELSE s END) FROM r JOIN q ON q.b = r.b AND q.i = r.i + 1) SELECT b AS broadcast, o AS ordinal, port FROM r")
+def port_names_clashing(spark, sf_dir):
+    k = F.col("p_partkey")
+    name = F.when(k * 7 % 5 == 0, "a").when(k * 7 % 5 == 1, F.concat(F.lit("a-"), (k % 3).cast("string"))).when(k * 7 % 5 == 2, "a b").when(k * 7 % 5 == 3, "").otherwise("a_b-1")
+    rows = table(spark, sf_dir, "part").select(F.expr("p_partkey div 8").cast("long").alias("broadcast"), (k % 8).cast("int").alias("ordinal"), name.alias("name"))
+    return catalog.ports(rows).select("broadcast", "ordinal", "port")
+
+
 @query("WITH p AS (SELECT CAST(p_partkey % 50 AS BIGINT) AS b, CAST(p_partkey AS INTEGER) AS ordinal, regexp_replace(p_name, '[^A-Za-z0-9_-]', '_', 'g') AS s FROM part) SELECT b AS broadcast, ordinal, CASE WHEN s = '' OR row_number() OVER (PARTITION BY b, s ORDER BY ordinal) > 1 THEN s || '-' || ordinal ELSE s END AS port FROM p")
 def port_names(spark, sf_dir):
     rows = table(spark, sf_dir, "part").select((F.col("p_partkey") % 50).cast("long").alias("broadcast"), F.col("p_partkey").cast("int").alias("ordinal"), F.col("p_name").alias("name"))
@@ -302,7 +330,7 @@ def late_rows(spark, sf_dir):
     return hold.late_rows(arrivals(spark, sf_dir))
 
 
-@query(", d AS (SELECT track, coalesce(seq <= max(seq) OVER (PARTITION BY track ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS late FROM arr) SELECT track, count(*) AS received, count(*) FILTER (NOT late) AS delivered, count(*) FILTER (late) AS dropped_late, true AS balanced FROM d GROUP BY track")
+@query(", d AS (SELECT track, seq, coalesce(seq <= max(seq) OVER (PARTITION BY track ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS late FROM arr), l AS (SELECT track, count(DISTINCT seq) AS n FROM d WHERE NOT late GROUP BY track) SELECT track, count(*) AS received, any_value(n) AS delivered, count(*) FILTER (late) AS dropped_late, max(seq) - (min(seq) FILTER (NOT late)) + 1 - any_value(n) AS passed_over, count(*) = any_value(n) + count(*) FILTER (late) AS balanced FROM d JOIN l USING (track) GROUP BY track")
 def conservation(spark, sf_dir):
     return hold.conservation(arrivals(spark, sf_dir))
 
@@ -310,14 +338,14 @@ def conservation(spark, sf_dir):
 @query(""", h AS (SELECT track, seq + 1 AS seq FROM (SELECT track, seq, lead(seq) OVER (PARTITION BY track ORDER BY seq) AS nxt FROM (SELECT DISTINCT track, seq FROM arr)) WHERE nxt - seq > 1),
 a AS (SELECT * FROM h UNION ALL SELECT track, max(grp) + 5 FROM gr GROUP BY track) SELECT a.track, a.seq, packets, CASE WHEN packets IS NULL THEN 'gone' ELSE 'group' END AS answer FROM a LEFT JOIN gr ON gr.track = a.track AND gr.grp = a.seq""")
 def fetch_lookup(spark, sf_dir):
-    groups = keyframe_groups(spark, sf_dir)
-    asks = hold.patient_holes(hold.arrivals(groups)).select("track", F.col("from_seq").alias("seq"))
+    groups = logs.kept(keyframe_groups(spark, sf_dir))
+    asks = hold.patient_holes(logs.kept(hold.arrivals(groups))).select("track", F.col("from_seq").alias("seq"))
     return hold.fetch_lookup(asks.unionByName(groups.groupBy("track").agg((F.max("grp") + 5).alias("seq"))), groups)
 
 
 @query(", x AS (SELECT 1) SELECT track, grp, arg_min(keyframe, frame_no) FILTER (strlen(payload) > 0) AS decodable FROM kf GROUP BY track, grp")
 def decisive_frame(spark, sf_dir):
-    return logs.decisive(logs.cut_keyframes(wire(spark, sf_dir)))
+    return logs.decisive(logs.wire_by_keyframe(table(spark, sf_dir, "events")))
 
 
 # Frames and messages.
@@ -422,7 +450,7 @@ def trailing_total(spark, sf_dir):
 
 @query(", s AS (SELECT track, grp, min(pts_us) AS a, max(pts_us) AS b FROM kf GROUP BY ALL), p AS (SELECT track, pts_us FROM kf WHERE grp % 13 <> 0) SELECT track, grp, a AS start, b AS \"end\" FROM s WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.track = s.track AND p.pts_us BETWEEN s.a - 2000 AND s.b + 2000)")
 def range_anti_missing(spark, sf_dir):
-    cut = logs.cut_keyframes(wire(spark, sf_dir))
+    cut = logs.kept(logs.wire_by_keyframe(table(spark, sf_dir, "events")).select("track", "grp", "pts_us"))
     spans = cut.groupBy("track", "grp").agg(F.min("pts_us").alias("start"), F.max("pts_us").alias("end"))
     return timelines.unmet(spans, cut.where("grp % 13 <> 0").select("track", F.col("pts_us").alias("at")), "track", 2000)
 
