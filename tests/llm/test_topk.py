@@ -49,7 +49,8 @@ def test_tree_invariants():
 
 
 def test_odd_rows_and_grid(spark, monkeypatch):
-    monkeypatch.setattr(topk, "LEAST", 7)
+    monkeypatch.setattr(topk, "ROWS", 7)
+    monkeypatch.setattr(topk, "MOST", 11)
     monkeypatch.setattr(topk, "QUERIES", 3)
     rows = [(i, [math.sin(i * j + 1) for j in range(6)]) for i in range(60)] + [(i, [0.5] * 6) for i in range(60, 90)]
     rows += [(100, None), (150, [1.0, None]), (200, [float("nan"), 1.0]), (250, [float("inf")]), (None, [1.0]), (300, []), (350, [0.25, -0.003])]
@@ -67,3 +68,38 @@ def test_large_components():
     s = topk.Search(np.array([7]), x[:1], np.array([1, 2, 3]), x, 2)
     assert not s.exact
     assert s.result().column("score").to_pylist() == [2**62 + 1, 2**31 * (2**31 - 1) + 5]
+
+
+def test_pruning_across_cells(spark, monkeypatch):
+    """Clustered vectors: most cells are never sent to a query, and the answers are those of brute force."""
+    monkeypatch.setattr(topk, "ROWS", 50)
+    monkeypatch.setattr(topk, "LEAF", 8)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(16, 8))
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    x = (centres[rng.integers(16, size=1200)] + rng.normal(scale=0.02, size=(1200, 8))).astype(np.float32)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in topk.top_k(df, F.col("vec_id") % 50 == 0).collect())
+    vecs = np.floor(256 * x.astype(np.float64)).astype(np.int64)
+    assert got == brute(list(range(1200)), vecs.tolist(), list(range(0, 1200, 50)), 5)
+    data = topk.quantised(df)
+    cells = topk.celled(data, topk.centres_of(data, 1200, 8)).toPandas()
+    assert cells["cell"].nunique() > 8
+    own = topk.centres_of(data, 1200, 8)
+    radius = cells.groupby("cell")["away"].max().reindex(range(len(own)), fill_value=0).to_numpy()
+    parts = np.bincount(cells["cell"], minlength=len(own)).clip(max=1)
+    asked = data.where("vec_id % 50 = 0").withColumn("least", F.lit(0.9 * 256**2))
+    assert topk.reached(asked, own, radius, parts, first=False).count() < 24 * len(own) / 3
+
+
+def test_equal_rows_spread(spark, monkeypatch):
+    monkeypatch.setattr(topk, "MOST", 500)
+    df = spark.range(20_000).select("id", F.array(*[F.lit(0.25)] * 8).alias("embedding")).withColumnRenamed("id", "vec_id")
+    seen = []
+    real = topk.searched
+    monkeypatch.setattr(topk, "searched", lambda q, d, *a: seen.append(d) or real(q, d, *a))
+    got = topk.top_k(df, F.col("vec_id") % 5000 == 0).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got)[:5] == [(0, i, i) for i in range(1, 6)]
+    sizes = [r["count"] for r in seen[-1].groupBy("cell", "part").count().collect()]
+    assert len(sizes) == 40 and max(sizes) < 750
