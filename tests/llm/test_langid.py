@@ -58,3 +58,31 @@ def test_code_switching_and_odd_rows(spark):
     assert {r["lang_pred"] for r in nothing.collect()} == {"und"}
     kept = langid.accepted(df)
     assert kept.columns == df.columns and kept.count() == 5
+
+
+def test_equal_doc_ids_are_sampled_by_text(spark):
+    rows = [(None, "the cat and the dog of the house number %d" % i, "en") for i in range(300)] + [(None, "der hund und die katze im haus nummer %d" % i, "de") for i in range(300)]
+    rows += [(9, "le chat et le chien de la maison", "fr")] * 3000  # 9 is not held out
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    spans = langid.sample(df, 20, 2, 5)
+    assert set(spans) == {"en", "de", "fr"} and len(spans["en"]) > 5 and all(len(v) <= 80 for v in spans.values())
+    got = langid.predicted(df.distinct(), langid.fitted(df))
+    assert got.where("__lang <> lang").count() == 0
+
+
+def test_forward_backward_equals_enumeration():
+    """Marginals of all label sequences of short texts, one sequence at a time."""
+    import itertools
+
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for n, k in ((1, 3), (2, 2), (5, 3)):
+        emit, moves, starts = rng.normal(size=(n, k)), rng.normal(size=(k, k)), rng.normal(size=k)
+        want = np.zeros((n, k))
+        for seq in itertools.product(range(k), repeat=n):
+            w = np.exp(starts[seq[0]] + sum(emit[i, s] for i, s in enumerate(seq)) + sum(moves[a, b] for a, b in itertools.pairwise(seq)))
+            for i, s in enumerate(seq):
+                want[i, s] += w
+        want /= want.sum(axis=1, keepdims=True)
+        assert np.allclose(langid.marginals(emit.astype(np.float32), np.array([n]), moves, starts), want, atol=1e-4)

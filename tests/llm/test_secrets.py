@@ -53,7 +53,7 @@ def test_redaction_and_odd_rows(spark):
     assert clean.columns == df.columns and clean.count() == df.count()
     text = {r[0]: r[1] for r in clean.collect()}
     assert text[1] is None and text[2] == ""
-    assert text[3] == 'x token = "[SECRET]" y [SECRET]' and key not in text[5] and ghp not in text[None]
+    assert text[3] == f'x token = "[SECRET]" y {key}' and key not in text[5] and ghp not in text[None]
     assert text[4] == rows[4][1] and text[6] == rows[7][1]
     assert len(text[5]) == len(long) - 40 + 8 and text[8].count("[SECRET]") == 300
     assert secrets.findings(df.limit(0)).count() == 0
@@ -81,3 +81,17 @@ def test_names_of_values(spark):
     other = spark.createDataFrame([(1, f"private_key: {pem} end"), (2, f"auth: user:{ghp} end"), (3, "author: Alexander, key: important, the bearer certificate")], "doc_id long, text string")
     kinds = {r["doc_id"]: r["kind"] for r in secrets.findings(other).where("is_secret").collect()}
     assert kinds == {1: "private_key", 2: "github_token"}
+
+
+def test_only_what_is_judged_is_replaced(spark):
+    """The same string as a key, a commit and a part of an address: each occurrence is judged by itself."""
+    digits = "3f9c1a7be05d42688c91fe0a77b3d1c5e2904fa6"
+    text = f'commit {digits} was pushed\ntoken = "{digits}"\nsee https://host.example/blob/{digits}/index.html'
+    df = spark.createDataFrame([(1, text), (2, None), (3, ""), (4, "nothing")], "doc_id long, text string")
+    scores = {r["nth"]: r["is_secret"] for r in secrets.findings(df).collect()}
+    got = {r["doc_id"]: r["text"] for r in secrets.redacted(df).collect()}
+    assert scores == {1: False, 2: True, 3: False}
+    assert got == {1: text.replace(f'"{digits}"', '"[SECRET]"'), 2: None, 3: "", 4: "nothing"}
+    many = " ".join(f'api_key = "{digits[i % 40:]}{digits[: i % 40]}"' for i in range(400))
+    out = secrets.redacted(spark.createDataFrame([(1, many)], "doc_id long, text string")).first()["text"]
+    assert out == 'api_key = "[SECRET]" ' * 399 + 'api_key = "[SECRET]"'

@@ -56,7 +56,7 @@ def test_edge_rows(spark):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
     kept = simhash.one_of_each(df)
     assert kept.columns == df.columns
-    assert sorted(r[0] or -1 for r in kept.collect()) == [-1, -1, 1, 4, 7]
+    assert sorted(r[0] or -1 for r in kept.collect()) == [-1, 1, 4, 7]  # rows without doc_id are decided by their texts as well
 
 
 def near(rng, fp, n):
@@ -84,3 +84,42 @@ def test_crowded_fingerprints(spark, monkeypatch):
         at = {int(np.uint64(f).view(np.int64)): i for i, f in enumerate(fps)}
         root = simhash.rooted(np.array([at[u] for u, _ in edges]), np.array([at[v] for _, v in edges]), len(fps))
         assert root.tolist() == want
+
+
+def test_rows_that_share_a_doc_id_stay(spark):
+    long = lambda k: " ".join(f"{k}{i % 37}x{i}" for i in range(120))
+    rows = [(5, long("a"), "p"), (5, long("b"), "q"), (6, long("c"), "r"), (None, long("d"), "s"), (None, long("a"), "t"), (7, long("b"), "u"), (6, long("c"), "r"), (None, None, "v"), (8, "", "w")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, tag string")
+    got = simhash.one_of_each(df)
+    assert got.columns == df.columns and got.dtypes == df.dtypes
+    want = [(5, long("a"), "p"), (5, long("b"), "q"), (6, long("c"), "r"), (None, long("d"), "s"), (8, "", "w")]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_every_crowded_key_is_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "HEAVY", 3000)
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 1 << 63, size=40, dtype=np.int64)
+    fps = sorted({int(b) ^ sum(1 << int(i) for i in rng.choice(63, size=rng.integers(0, 4), replace=False)) for b in base for _ in range(20)})
+    edges = simhash.links(spark.createDataFrame([(f,) for f in fps], "fp long"), 4).collect()
+    root = {f: f for f in fps}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for e in edges:
+        root[find(e["u"])] = find(e["v"])
+    want = {f: f for f in fps}
+
+    def top(x):
+        while want[x] != x:
+            x = want[x]
+        return x
+
+    for i, a in enumerate(fps):
+        for b in fps[i + 1 :]:
+            if bin(a ^ b).count("1") <= 4:
+                want[top(a)] = top(b)
+    assert len({(find(f), top(f)) for f in fps}) == len({find(f) for f in fps}) == len({top(f) for f in fps})

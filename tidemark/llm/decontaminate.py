@@ -166,11 +166,13 @@ def blocks(benchmark: DataFrame, size: int, block_words: int) -> Iterator[list[t
         .select(F.col("item_id").cast("string").alias("item"), words.alias("words"))
         .where(F.size("words") > 0)
         .select("item", F.posexplode(F.transform(F.sequence(F.lit(0), F.greatest(F.size("words") - size, F.lit(0)), F.lit(step)), lambda s: F.slice("words", s + 1, PIECE_WORDS))).alias("piece", "words"))
+        .select("item", "words")
+        .distinct()  # rows may repeat
     )
     total = pieces.agg(F.sum(F.size("words"))).first()[0] or 0
     n = max(1, -(-total // block_words))
     for b in range(n):
-        rows = pieces.where(F.pmod(F.xxhash64("item", "piece"), F.lit(n)) == b).collect()
+        rows = pieces.where(F.pmod(F.xxhash64("item", "words"), F.lit(n)) == b).collect()
         yield [(r["item"], [w.encode() for w in r["words"]]) for r in rows]
 
 

@@ -9,10 +9,10 @@ each word's marginals; a text's language is the label with most of their mass,
 its score that share.
 
 Training takes a bounded sample: of each language about `sample_docs` texts,
-chosen by a hash of doc_id, and of each up to `sample_spans` spans of
+chosen by a hash of doc_id and text (twice as many at most, and none twice), and of each up to `sample_spans` spans of
 `span_words` words at hashed places. Spans of equal and of different languages
-are joined into training sequences, so that switches are seen. At most
-`max_langs` languages, the most frequent, are learned. Whole texts are predicted.
+are joined into training sequences, so that switches are seen. Every language
+with a text is learned. Whole texts are predicted, in pieces, whatever their length.
 
 Defined results
 * a text that is null or has no letter is `und` with score 0, and so is every
@@ -31,7 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fold, per_worker, project, trim
@@ -185,18 +185,21 @@ def marginals(emit: np.ndarray, lengths: np.ndarray, moves: np.ndarray, starts:
     return out, expected
 
 
-def sample(docs: DataFrame, sample_docs: int, sample_spans: int, span_words: int, max_langs: int) -> dict[str, list[list[bytes]]]:
-    """Spans of words of each language: bounded by the parameters, whatever the size of docs."""
-    known = docs.where("lang is not null and text is not null")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+def sample(docs: DataFrame, sample_docs: int, sample_spans: int, span_words: int) -> dict[str, list[list[bytes]]]:
+    """Spans of words of each language: bounded by the parameters, whatever the size of docs, and however rows repeat."""
+    known = docs.where("lang is not null and text is not null").withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), "text", F.lit("sample")))
+    counts = known.select("lang", "h").distinct().groupBy("lang").count().orderBy("lang").collect()
     if not counts:
         return {}
     scale = 1 << 30
     share = F.coalesce(*[F.when(F.col("lang") == r["lang"], min(scale, max(1, scale * sample_docs // r["count"]))) for r in counts])
     words = F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")
-    picked = known.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(scale)) < share).select("doc_id", "lang", words.alias("w"))
-    place = lambda i: F.pmod(F.xxhash64("doc_id", i), F.greatest(F.size("w") - span_words, F.lit(0)) + 1)
-    spans = picked.select("lang", F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(sample_spans)), lambda i: F.slice("w", (place(i) + 1).cast("int"), span_words))).alias("spans"))
+    picked = known.where(F.pmod("h", F.lit(scale)) < share).select("h", "lang", words.alias("w"))
+    place = lambda i: F.pmod(F.xxhash64("h", i), F.greatest(F.size("w") - span_words, F.lit(0)) + 1)
+    each = picked.select("h", "lang", F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(sample_spans)), lambda i: F.slice("w", (place(i) + 1).cast("int"), span_words))).alias("spans"))
+    # Rows that repeat are chosen together; each language's texts count once, and no more than twice the number asked for.
+    once = each.groupBy("lang", "h").agg(F.min("spans").alias("spans"))
+    spans = once.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("n") <= 2 * sample_docs).select("lang", "spans")
     out: dict[str, set] = {}
     for r in spans.collect():
         for s in r["spans"]:
@@ -291,9 +294,9 @@ def label(field: Field, texts: list[bytes], known: dict[bytes, int], emit: list[
             yield got[end - len(a) : end], a
 
 
-def fitted(docs: DataFrame, sample_docs: int = 150, sample_spans: int = 6, span_words: int = 30, max_langs: int = 64) -> Field | None:
+def fitted(docs: DataFrame, sample_docs: int = 150, sample_spans: int = 6, span_words: int = 30) -> Field | None:
     """The field learned from the rows of docs outside the held-out fold."""
-    return trained(sample(docs.where(fold(4) != 2), sample_docs, sample_spans, span_words, max_langs))
+    return trained(sample(docs.where(fold(4) != 2), sample_docs, sample_spans, span_words))
 
 
 def predicted(docs: DataFrame, field: Field | None, text: str = "text") -> DataFrame:

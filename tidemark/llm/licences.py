@@ -240,10 +240,11 @@ def other_lines(docs: DataFrame, sample_docs: int) -> list[list[bytes]]:
     if not n:
         return []
     scale = 1 << 30
-    picked = docs.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("lines")), F.lit(scale)) < max(1, min(scale, scale * sample_docs // n)))
+    picked = docs.withColumn("h", F.xxhash64(F.col("doc_id").cast("string"), "text", F.lit("lines"))).where(F.pmod("h", F.lit(scale)) < max(1, min(scale, scale * sample_docs // n)))
     short = F.filter(F.split("text", "\n"), lambda s: F.length(s).between(1, 600))
     dealt = F.array_sort(F.transform(short, lambda s: F.struct(F.xxhash64(s).alias("h"), s.alias("s"))))
-    lines = picked.select(F.explode(F.slice(dealt, 1, 8)).alias("e")).select(F.col("e.s").alias("line"))
+    # Rows that repeat are chosen together: equal lines count once, and no more than twice the number asked for.
+    lines = picked.select(F.explode(F.slice(dealt, 1, 8)).alias("e")).select(F.col("e.h").alias("h"), F.col("e.s").alias("line")).distinct().orderBy("h", "line").limit(16 * sample_docs)
     three = {tuple(w[i : i + 3]) for ts in TEMPLATES.values() for t in ts for w in [words_of(t.encode())] for i in range(len(w) - 2)}
     got = sorted({r["line"] for r in lines.collect()})
     return [w for w in (words_of(s.encode()) for s in got) if w and not any(tuple(w[i : i + 3]) in three for i in range(len(w) - 2))]

@@ -212,7 +212,9 @@ def forest(findings: DataFrame, trees: int = 24, depth: int = 7, train_rows: int
 
 
 def _judged(rows: DataFrame, trees: list) -> DataFrame:
-    """rows, having __text, with __judged: an array of (cand, score), an item for each occurrence.
+    """rows, having __text, with __judged: an array of (till, cand, score), an item for each occurrence, and __rest.
+
+    till is the text from the occurrence before up to this one, __rest what follows the last one.
 
     Everything happens inside the row, so nothing is shuffled; each step is a
     projection of its own, so that none is worked out twice.
@@ -228,13 +230,15 @@ def _judged(rows: DataFrame, trees: list) -> DataFrame:
             F.substring(F.concat(before, lead), -BESIDE, BESIDE).alias("before"),
             whole.substr(F.length(lead) + 1, F.length(whole)).alias("cand"),
             F.substring(after, 1, BESIDE).alias("after"),
+            F.concat(before, lead).alias("till"),
         )
 
     each = split.withColumn("__each", F.when(some, F.transform(F.sequence(F.lit(1), F.size("__cands")), occurrence)))
-    weighed = each.withColumn("__x", F.transform("__each", lambda e: F.struct(e["cand"].alias("cand"), F.array(*feature_columns(e["before"], e["cand"], e["after"])).alias("x"))))
+    weighed = each.withColumn("__x", F.transform("__each", lambda e: F.struct(e["till"].alias("till"), e["cand"].alias("cand"), F.array(*feature_columns(e["before"], e["cand"], e["after"])).alias("x"))))
     total = " + ".join(as_sql(t, "e.x") for t in trees)
-    judged = weighed.withColumn("__judged", F.expr(f"transform(__x, e -> named_struct('cand', e.cand, 'score', round(({total}) / {len(trees)}, 6)))"))
-    return judged.drop("__cands", "__between", "__each", "__x")
+    judged = weighed.withColumn("__judged", F.expr(f"transform(__x, e -> named_struct('till', e.till, 'cand', e.cand, 'score', round(({total}) / {len(trees)}, 6)))"))
+    rest = F.when(some, F.element_at("__between", -1))
+    return judged.withColumn("__rest", rest).drop("__cands", "__between", "__each", "__x")
 
 
 def _forest(spark: SparkSession, known: DataFrame | None, options: dict) -> list:
@@ -254,14 +258,12 @@ def findings(docs: DataFrame, known: DataFrame | None = None, least_score: float
 
 
 def redacted(docs: DataFrame, known: DataFrame | None = None, least_score: float = 0.5, mark: str = "[SECRET]", **options) -> DataFrame:
-    """docs, all columns, with every occurrence of what is judged a secret in its text replaced by mark."""
+    """docs, all columns, with mark in place of each occurrence that is judged a secret; the same string elsewhere stands if it is not."""
     names = docs.columns
     inner = [f"__c{i}" for i in range(len(names))]
     text = inner[names.index("text")]
     rows = docs.toDF(*inner).withColumn("__text", F.col(text))
     at = _judged(rows, _forest(docs.sparkSession, known, options))
-    bad = F.array_distinct(F.transform(F.filter("__judged", lambda e: e["score"] >= least_score), lambda e: e["cand"]))
-    # Longer ones first: one may hold another.
-    order = F.transform(F.array_sort(F.transform(bad, lambda c: F.struct((-F.length(c)).alias("n"), c.alias("c")))), lambda e: e["c"])
-    clean = F.when(F.size("__judged") > 0, F.aggregate(order, F.col(text), lambda acc, c: F.replace(acc, c, F.lit(mark)))).otherwise(F.col(text))
+    parts = F.transform("__judged", lambda e: F.concat(e["till"], F.when(e["score"] >= least_score, F.lit(mark)).otherwise(e["cand"])))
+    clean = F.when(F.size("__judged") > 0, F.concat(F.array_join(parts, ""), "__rest")).otherwise(F.col(text))
     return at.select(*[clean.alias(c) if c == text else F.col(c) for c in inner]).toDF(*names)

@@ -31,7 +31,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import project, text_bytes, written
@@ -42,7 +42,6 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Variants that a task writes out at once, and that a key may have before it is dealt over several tasks.
 PART = 1 << 21
 HEAVY = 1 << 25
-HEAVY_KEYS = 10_000
 #: Spreads the eight bits of a byte over the eight bytes of a word, to count them side by side.
 LANES = np.array([int.from_bytes(bytes((v >> j) & 1 for j in range(8)), "little") for v in range(256)], dtype=np.uint64)
 
@@ -93,16 +92,16 @@ def fingerprints(texts: list[bytes], width: int) -> np.ndarray:
 
 
 def fingerprinted(docs: DataFrame, width: int = 4) -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
+    """(doc_id, fp, uid) of every row; fp is the fingerprint as a signed long, uid a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = fingerprints(batch.column(1).to_pylist(), width)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            fp = fingerprints(batch.column(2).to_pylist(), width)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64)), batch.column(1)], names=["doc_id", "fp", "uid"])
 
-    src = project(docs, ["doc_id", "text"]).select("doc_id", text_bytes().alias("body"))
+    src = project(docs, ["doc_id", "text"]).select("doc_id", F.xxhash64("text").alias("uid"), text_bytes().alias("body"))
     kind = dict(src.dtypes)["doc_id"]
-    return src.mapInArrow(run, f"doc_id {kind}, fp long")
+    return src.mapInArrow(run, f"doc_id {kind}, fp long, uid long")
 
 
 def masks(bits: int, radius: int) -> list[int]:
@@ -218,13 +217,10 @@ def links(fps: DataFrame, radius: int = 4, n: int | None = None) -> DataFrame:
     left = F.lit(half) - F.bit_count(F.col("key").bitwiseXOR(key))
     sizes = [len(masks(64 - m, r)) for r in range(half + 1)]
     weight = sum((F.when(left == r, s).otherwise(0) for r, s in enumerate(sizes)), F.lit(0)).cast("long")
-    crowded = rows.groupBy("key").agg(F.sum(weight).alias("w")).where(F.col("w") > HEAVY).orderBy(F.desc("w"), "key").limit(HEAVY_KEYS).collect()
-    if crowded:  # what is beyond HEAVY_KEYS stays in one task each, which goes through it in parts
-        logs = F.create_map(*[F.lit(x) for r in crowded for x in (r["key"], min(len(PARITIES), (r["w"] // HEAVY).bit_length()))])
-        rows = rows.withColumn("logs", F.coalesce(logs[F.col("key")], F.lit(0)))
-        rows = rows.withColumn("sub", F.explode(F.sequence(F.lit(0), F.expr("shiftleft(1, logs)") - 1)))
-    else:
-        rows = rows.withColumns({"logs": F.lit(0), "sub": F.lit(0)})
+    crowded = rows.groupBy("key").agg(F.sum(weight).alias("w")).where(F.col("w") > HEAVY)
+    logs = F.least(F.lit(len(PARITIES)), F.length(F.bin(F.floor(F.col("w") / HEAVY)))).cast("int")
+    rows = rows.join(crowded.select("key", logs.alias("logs")), "key", "left").withColumn("logs", F.coalesce("logs", F.lit(0)))
+    rows = rows.withColumn("sub", F.explode(F.sequence(F.lit(0), F.expr("shiftleft(1, logs)") - 1)))
 
     def run(group: pa.Table) -> pa.Table:
         fp = group.column("fp").to_numpy().view(np.uint64)
@@ -246,32 +242,38 @@ def spark_group(rows: DataFrame, run) -> DataFrame:
     return rows.groupBy("key", "sub").applyInArrow(run, "u long, v long")
 
 
+def grouped(marked: DataFrame, radius: int) -> DataFrame:
+    """(fp, root) of all distinct fingerprints of marked (fp): root is some fingerprint of the component."""
+    fps = written(marked.select("fp").distinct(), "simhash-distinct")
+    roots = components(links(fps, radius, fps.count()))
+    return fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id, fp of every row of docs."""
     marked = written(fingerprinted(docs, width), "simhash")
-    fps = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    roots = components(links(fps.select("fp"), radius, fps.count()))
-    at = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = at.groupBy("root").agg(F.min("first").alias("component_id"))
+    at = grouped(marked, radius)
+    firsts = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    least = at.join(firsts, "fp").groupBy("root").agg(F.min("first").alias("component_id"))
     named = at.join(least, "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "fp")
 
 
 def one_of_each(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFrame:
-    """The rows of docs, all columns, without near copies: of each component the row of the smallest doc_id stays.
+    """The rows of docs, all columns, without near copies: one row of each component stays.
 
-    Of rows that share that doc_id the one whose text has the smallest hash stays.
-    Rows without doc_id cannot be told apart by it, take no part and all stay.
+    It is the one with the smallest doc_id (none sorts last), then the least hash of its text. Rows that share
+    a doc_id but are no near copies of each other each stay; of rows equal in doc_id and text one does.
     """
     names = docs.columns
     inner = [f"__c{i}" for i in range(len(names))]
     key, text = inner[names.index("doc_id")], inner[names.index("text")]
     placed = docs.toDF(*inner)
-    named = placed.where(F.col(key).isNotNull())
-    found = near_duplicates(named.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), radius, width)
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    kept = named.join(keep, F.col(key) == F.col("__keep"), "left_semi")
-    # The join has dealt the rows by doc_id, so this needs no further shuffle.
-    first = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(text)))
-    kept = kept.withColumn("__n", first).where("__n = 1").select(*inner)
-    return kept.unionByName(placed.where(F.col(key).isNull())).toDF(*names)
+    marked = written(fingerprinted(docs, width), "simhash")
+    who = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")
+    firsts = marked.groupBy("fp").agg(F.min(who).alias("first"))
+    keep = grouped(marked, radius).join(firsts, "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("__id"), F.col("first.uid").alias("__uid"))
+    kept = placed.join(keep, F.col(key).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__uid")))
+    # Rows equal in both meet here, one for each task at most; which of their other columns stay is told by a hash.
+    one = kept.groupBy("__id", "__uid").agg(F.min_by(F.struct(*inner), F.xxhash64(*[c for c in inner if dict(kept.dtypes)[c][:3] != "map"])).alias("__row"))
+    return one.select("__row.*").toDF(*names)
