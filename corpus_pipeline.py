@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, langid, secrets, simhash
-from tidemark.llm.common import table, written
+from tidemark.llm.common import discard, table, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,8 +21,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest doc_id."""
-    return simhash.one_of_each(docs)
+    """One document of each group of near copies, told by shingles of five words, stays: the one with the smallest doc_id."""
+    return simhash.one_of_each(docs, width=5)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,6 +60,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for nth, (name, stage) in enumerate(STAGES):
+        before, docs = docs, written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if nth:
+            discard(before)
     return docs

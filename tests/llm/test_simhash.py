@@ -6,12 +6,12 @@ import xxhash
 from tidemark.llm import simhash
 
 
-def brute_fingerprint(text):
+def brute_fingerprint(text, width=4):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = [w for w in __import__("re").split("[\x20\x09-\x0d]+", low) if w]
     if not words:
         return 0
-    sh = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    sh = [" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))]
     hs = [xxhash.xxh64_intdigest(s.encode(), 42) for s in sh]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
 

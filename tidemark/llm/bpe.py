@@ -42,6 +42,8 @@ from tidemark.llm.decontaminate import slices
 
 #: Chunks, words and pairs of tokens that a worker remembers.
 CHUNKS, PAIRS = 150_000, 300_000
+#: Chunks longer than this, in bytes, are not remembered.
+LONG = 256
 #: Bytes of text whose chunks are held together.
 SLICE = 2 << 20
 #: What a chunk without words comes to.
@@ -205,9 +207,13 @@ class Encoder:
             got = list(map(self.chunks.get, flat))
             if None in got:
                 unknown = [i for i, g in enumerate(got) if g is None]
-                self.learn(list(dict.fromkeys([flat[i] for i in unknown])))
+                new = list(dict.fromkeys([flat[i] for i in unknown]))
+                self.learn(new)
                 for i in unknown:
                     got[i] = self.chunks[flat[i]]
+                for c in new:  # what is remembered has a bound in bytes, too
+                    if len(c) > LONG:
+                        del self.chunks[c]
             end = 0
             for cs in split:
                 begin, end = end, end + len(cs)
@@ -221,8 +227,9 @@ def count(ids: bytes) -> int:
     return ids.count(b" ") + 1 if ids else 0
 
 
-def array(ids: bytes) -> np.ndarray:
-    return np.array(ids.split(), dtype=np.int32)
+def array(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of all, how many of each) of rows of numbers in decimal."""
+    return np.fromstring(b" ".join([i for i in ids if i]), dtype=np.int32, sep=" "), np.array([count(i) for i in ids], dtype=np.int64)
 
 
 def report(docs: DataFrame, path: str) -> DataFrame:
@@ -260,9 +267,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
         for batch in batches:
             bodies = batch.column(len(inner)).to_pylist()
             for lo, hi in slices(bodies, SLICE):
-                got = [array(i) for i, _ in encoder.encode(bodies[lo:hi])]
-                ends = np.cumsum([0, *map(len, got)]).astype(np.int32)
-                col = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(got)))
+                got, n = array([i for i, _ in encoder.encode(bodies[lo:hi])])
+                col = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), pa.array(got))
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(inner))), col], names=[*inner, "__ids"])
         batch = bodies = part = got = col = None

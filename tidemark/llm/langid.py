@@ -42,6 +42,8 @@ ORDERS = (1, 2, 3, 4)
 PIECE = 128
 #: Chunks whose emissions a worker remembers, and bytes of text it looks at together.
 REMEMBERED, SLICE = 200_000, 2 << 20
+#: Chunks longer than this, in bytes, are not remembered.
+LONG = 256
 
 
 def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -271,7 +273,7 @@ def label(field: Field, texts: list[bytes], known: dict[bytes, int], emit: list[
     """(words' marginals [n, L], places of the words among the chunks) of each text."""
     for lo, hi in slices(texts, SLICE):
         split = [t.split() for t in texts[lo:hi]]
-        if len(known) > REMEMBERED:
+        if max(len(known), sum(map(len, emit))) > REMEMBERED:
             known.clear()
             emit.clear()
         new = [c for c in {c for cs in split for c in cs} if c not in known]
@@ -290,6 +292,9 @@ def label(field: Field, texts: list[bytes], known: dict[bytes, int], emit: list[
         flat = np.concatenate([i[a] for i, a in zip(ids, at, strict=True)])
         lengths = np.array([len(a) for a in at])
         got = marginals(table[flat], lengths, field.moves, field.starts)
+        for c in new:
+            if len(c) > LONG:
+                del known[c]
         for a, end in zip(at, np.cumsum(lengths), strict=True):
             yield got[end - len(a) : end], a
 
