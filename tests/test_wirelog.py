@@ -54,6 +54,38 @@ def test_stream_reads_the_backlog(spark, published, tmp_path):
     assert spark.table("wire").count() == frames.count()
 
 
+def test_stream_goes_on_and_begins_live(spark, published, tmp_path):
+    """New files are read once each, by tasks; a live reader begins past what is there."""
+    relay, frames, _ = published
+    src = wirelog.subscribe(spark, relay, "live/demo").frames().where("track = 'click'").cache()
+    n = src.count()
+    base = f"{relay}/live/growing"
+    src.write.partitionBy("track").parquet(f"{base}/log/batch=0")
+    names = {}
+    for start in ("live", "backlog"):
+        names[start] = wirelog.subscribe(spark, relay, "live/growing", start=start).frames(stream=True).writeStream.format("memory").queryName(f"from_{start}").option("checkpointLocation", str(tmp_path / start)).start()
+    try:
+        for q in names.values():
+            q.processAllAvailable()
+        src.write.partitionBy("track").parquet(f"{base}/log/batch=1")
+        for q in names.values():
+            q.processAllAvailable()
+    finally:
+        for q in names.values():
+            q.stop()
+    assert spark.table("from_backlog").count() == 2 * n and spark.table("from_live").count() == n
+    reader = wirelog.LogStreamReader(base, "backlog")
+    parts = reader.partitions(reader.initialOffset(), reader.latestOffset())
+    assert len(parts) >= 2 and all(isinstance(p, wirelog.Part) for p in parts)
+
+
+def test_other_kinds_are_refused(spark, published):
+    relay, frames, _ = published
+    odd = spark.createDataFrame([("subtitles", *TRACKS[0][1:])], SCHEMA)
+    with pytest.raises(ValueError, match="'view' is of kind 'subtitles'"):
+        wirelog.publish(frames, odd, relay, "live/odd")
+
+
 def test_parameters():
     with pytest.raises(ValueError, match="no such"):
         wirelog.checked(wirelog.PUBLISH, {"speed": 1})

@@ -20,7 +20,7 @@ import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, InputPartition
 from pyspark.sql.datasource import In as IsIn
 
 from tidemark.operators import catalog, hold, logs
@@ -29,17 +29,25 @@ SCHEMA = "track string, grp long, frame_in_group long, pts_us long, keyframe boo
 FIELDS = [f.split(" ")[0] for f in SCHEMA.split(", ")]
 
 
+#: Groups of a track that one task writes.
+GROUPS = 4096
+
+
 class Part(InputPartition):
     def __init__(self, path: str, track: str):
         self.path, self.track = path, track
 
 
+def track_of(path: str) -> str:
+    return unquote(path.rsplit("/", 2)[-2].removeprefix("track="))
+
+
 def listed(location: str, tracks: set[str] | None = None) -> list[Part]:
     """The log's files in the order of their names, of the tracks asked for."""
     store, base = fs.FileSystem.from_uri(location)
     found = store.get_file_info(fs.FileSelector(f"{base}/log", recursive=True))
     files = sorted(i.path for i in found if i.type == fs.FileType.File and i.path.endswith(".parquet"))
-    parts = [Part(p, unquote(p.rsplit("/", 2)[-2].removeprefix("track="))) for p in files]
+    parts = [Part(p, track_of(p)) for p in files]
     return [p for p in parts if tracks is None or p.track in tracks]
 
 
@@ -70,30 +78,37 @@ class LogReader(DataSourceReader):
             yield from batches(self.location, partition)
 
 
-class LogStreamReader(SimpleDataSourceStreamReader):
-    """New files are new data; start 'live' begins past what is there, 'backlog' at the first file."""
+class LogStreamReader(DataSourceStreamReader):
+    """New files are new data; start 'live' begins past what is there, 'backlog' at the first file.
+
+    An offset is the last file so far, in the order of when files were written and of their names. Only
+    names pass the driver: each file is a partition, and a task reads it.
+    """
 
     def __init__(self, location: str, start: str):
         self.location, self.live = location, start == "live"
 
+    def _files(self) -> list[tuple[int, str]]:
+        store, base = fs.FileSystem.from_uri(self.location)
+        found = store.get_file_info(fs.FileSelector(f"{base}/log", recursive=True, allow_not_found=True))
+        return sorted((i.mtime_ns, i.path) for i in found if i.type == fs.FileType.File and i.path.endswith(".parquet"))
+
+    def _last(self) -> dict:
+        at, path = (self._files() or [(0, "")])[-1]
+        return {"at": at, "path": path}
+
     def initialOffset(self):
-        return {"files": [p.path for p in listed(self.location)] if self.live else []}
+        return self._last() if self.live else {"at": 0, "path": ""}
 
-    def read(self, start):
-        seen = set(start["files"])
-        new = [p for p in listed(self.location) if p.path not in seen]
-        return self._rows(new), {"files": sorted(seen | {p.path for p in new})}
+    def latestOffset(self):
+        return self._last()
 
-    def readBetweenOffsets(self, start, end):
-        again = set(end["files"]) - set(start["files"])
-        return self._rows([p for p in listed(self.location) if p.path in again])
+    def partitions(self, start, end):
+        low, high = (start["at"], start["path"]), (end["at"], end["path"])
+        return [Part(p, track_of(p)) for at, p in self._files() if low < (at, p) <= high]
 
-    def _rows(self, parts):
-        rows = []
-        for p in parts:
-            for b in batches(self.location, p):
-                rows += list(zip(*(c.to_pylist() for c in b.columns), strict=True))
-        return iter(rows)
+    def read(self, partition):
+        yield from batches(self.location, partition)
 
 
 class WireSource(DataSource):
@@ -107,7 +122,7 @@ class WireSource(DataSource):
     def reader(self, schema):
         return LogReader(self.options["path"])
 
-    def simpleStreamReader(self, schema):
+    def streamReader(self, schema):
         return LogStreamReader(self.options["path"], self.options.get("start", "live"))
 
 
@@ -134,12 +149,14 @@ def checked(known: dict, given: dict) -> dict:
 def publish(frames: DataFrame, tracks: DataFrame, relay: str, broadcast: str, **params) -> DataFrame:
     """Writes frames (track, frame_no, pts_us, keyframe, payload) and the catalog of tracks; returns report rows.
 
-    Video is cut at keyframes, audio by elapsed time (every frame where
+    A track of another kind is refused by name. Video is cut at keyframes, audio by elapsed time (every frame where
     audio_group_ms is 0), messages one by one. Every audio packet is a keyframe,
     whatever the wire said. A log is written under its groups' numbers, so
     publishing the same again replaces it by the same.
     """
     p = checked(PUBLISH, params)
+    if odd := tracks.where("kind is null or kind not in ('video', 'audio', 'data')").select("name", "kind").limit(3).collect():
+        raise ValueError("; ".join(f"track {r['name']!r} is of kind {r['kind']!r}: video, audio or data can be published" for r in odd))
     kinds = tracks.select(F.col("name").alias("track"), "kind")
     known = frames.join(kinds, "track")
     video = logs.cut_keyframes(known.where("kind = 'video'"))
@@ -151,7 +168,7 @@ def publish(frames: DataFrame, tracks: DataFrame, relay: str, broadcast: str, **
     first = cut.groupBy("track", "grp").agg(F.min("frame_no").alias("f"))
     wire = cut.join(first, ["track", "grp"]).select("track", "grp", (F.col("frame_no") - F.col("f")).alias("frame_in_group"), "pts_us", "keyframe", F.col("payload").cast("binary").alias("payload"))
     base = f"{relay.rstrip('/')}/{broadcast}"
-    wire.repartition("track").sortWithinPartitions("track", "grp", "frame_in_group").write.mode("overwrite").partitionBy("track").parquet(f"{base}/log")
+    wire.repartition("track", F.floor(F.col("grp") / GROUPS)).sortWithinPartitions("track", "grp", "frame_in_group").write.mode("overwrite").partitionBy("track").parquet(f"{base}/log")
     catalog.document(tracks.withColumn("broadcast", F.lit(broadcast))).select("document").coalesce(1).write.mode("overwrite").text(f"{base}/catalog")
     groups = logs.group_rows(frames.sparkSession.read.parquet(f"{base}/log").withColumn("track", F.col("track").cast("string")))
     total = logs.trailing_row(groups).withColumn("kind", F.lit("trailing"))
