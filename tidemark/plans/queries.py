@@ -184,6 +184,11 @@ def catalogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.document(tracks(spark, sf_dir))
 
 
+def found(documents: DataFrame) -> DataFrame:
+    """The renditions of catalog documents, written once: sections and rows are made from several reads of them."""
+    return logs.kept(catalog.renditions(logs.kept(documents)))
+
+
 @query("WITH " + CATALOG + r""",
 e AS (SELECT b, kind, name, '"' || name || '":{"codec":"' || codec || '","container":{"kind":"' || packaging || '"' ||
     CASE WHEN packaging = 'cmaf' THEN ',"init":"' || base64(encode(repeat(name, 30))) || '"' ELSE '' END || '},"description":"' || lower(hex(encode(name || ' ÿ'))) || '"' ||
@@ -196,14 +201,14 @@ def catalog_document(spark, sf_dir):
 
 @query("WITH " + CATALOG + ' SELECT b AS broadcast, ordinal, kind, name, "row" FROM o')
 def catalog_rows(spark, sf_dir):
-    return catalog.assigned(catalog.renditions(catalogs(spark, sf_dir))).select("broadcast", "ordinal", "kind", "name", F.col("row").cast("int").alias("row"))
+    return catalog.assigned(found(catalogs(spark, sf_dir))).select("broadcast", "ordinal", "kind", "name", F.col("row").cast("int").alias("row"))
 
 
 @query("WITH " + CATALOG + """ SELECT b AS broadcast, "row", min_by(name, ordinal) AS name, string_agg(codec, ',' ORDER BY ordinal) FILTER (kind <> 'data') AS codecs,
   max(CASE WHEN kind = 'video' THEN CASE name WHEN 'hd' THEN 720 ELSE 360 END END) AS height, coalesce(string_agg(name, ',' ORDER BY ordinal) FILTER (kind = 'audio'), '') AS audio,
   coalesce(string_agg(name, ',' ORDER BY ordinal) FILTER (kind = 'data'), '') AS data, CAST(NULL AS BIGINT) AS bandwidth FROM o GROUP BY b, "row" """)
 def catalog_relation(spark, sf_dir):
-    rel = catalog.relation(catalog.assigned(catalog.renditions(catalogs(spark, sf_dir))))
+    rel = catalog.relation(catalog.assigned(found(catalogs(spark, sf_dir))))
     return rel.select("broadcast", F.col("row").cast("int").alias("row"), "name", "codecs", "height", F.array_join("audio", ",").alias("audio"), F.array_join("data", ",").alias("data"), "bandwidth")
 
 
@@ -279,11 +284,11 @@ def port_names(spark, sf_dir):
 
 @query("WITH " + CATALOG + """, c AS (SELECT b, name, CASE WHEN b % 5 = 0 AND name = 'sd' THEN 'missing' WHEN b % 5 = 1 AND name = 'hd' THEN 'codec' WHEN b % 5 = 2 AND name = 'cues' THEN 'timescale' END AS reason FROM t) SELECT b AS broadcast, name, reason FROM c WHERE reason IS NOT NULL""")
 def catalog_drift(spark, sf_dir):
-    old = catalog.renditions(catalogs(spark, sf_dir))
+    old = found(catalogs(spark, sf_dir))
     k = F.col("broadcast") % 5
     new = tracks(spark, sf_dir).where((k != 0) | (F.col("name") != "sd")).withColumn("codec", F.when((k == 1) & (F.col("name") == "hd"), "avc1.640028").otherwise(F.col("codec")))
     new = new.withColumn("timescale", F.when((k == 2) & (F.col("name") == "cues"), 48000).otherwise(F.col("timescale")))
-    return catalog.drift(old, catalog.renditions(catalog.document(new)))
+    return catalog.drift(old, found(catalog.document(new)))
 
 
 # Holds.
