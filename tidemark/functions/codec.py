@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 MOST = (1 << 62) - 1
 
@@ -112,12 +114,69 @@ def aac_duration_us(rate: Column) -> Column:
     return F.when(rate > 0, F.floor(F.lit(1024 * 1_000_000) / rate).cast("long"))
 
 
-def h264_keyframe(sample: Column) -> Column:
-    """Whether an Annex B sample holds an IDR unit."""
+def _nal_heads(sample: Column) -> Column:
+    """The first byte of each unit of an Annex B sample."""
     # The hex text is parted into bytes, so that a start code never begins in the middle of one.
     units = F.transform(F.split(F.regexp_replace(F.hex(sample), "(..)", "$1 "), "(?:00 )?00 00 01 "), lambda u: F.replace(u, F.lit(" "), F.lit("")))
     units = F.slice(units, 2, F.size(units))  # what stands before the first start code is no unit
-    return F.exists(units, lambda u: (F.length(u) >= 2) & (F.conv(F.substring(u, 1, 2), 16, 10).cast("int").bitwiseAND(31) == 5))
+    return F.transform(F.filter(units, lambda u: F.length(u) >= 2), lambda u: F.conv(F.substring(u, 1, 2), 16, 10).cast("int"))
+
+
+def h264_keyframe(sample: Column) -> Column:
+    """Whether an Annex B sample holds an IDR unit."""
+    return F.exists(_nal_heads(sample), lambda h: h.bitwiseAND(31) == 5)
+
+
+def hevc_keyframe(sample: Column) -> Column:
+    """Whether an Annex B sample holds a random access unit (types 16 to 23)."""
+    return F.exists(_nal_heads(sample), lambda h: F.shiftright(h, 1).bitwiseAND(63).between(16, 23))
+
+
+def sequence_header(sample: bytes) -> bool:
+    """Whether one of a sample's OBUs is a sequence header; a sample that breaks off is none."""
+    at, found = 0, False
+    while at < len(sample):
+        head, at = sample[at], at + 1
+        at += head >> 2 & 1
+        size = shift = 0
+        if head >> 1 & 1:
+            while True:
+                if at >= len(sample) or shift > 49:
+                    return False
+                byte, at = sample[at], at + 1
+                size |= (byte & 127) << shift
+                shift += 7
+                if byte < 128:
+                    break
+        else:
+            size = len(sample) - at
+        at += size
+        found |= head >> 3 & 15 == 1
+    return found and at == len(sample)
+
+
+def av1_keyframe(sample: Column) -> Column:
+    """Whether an AV1 sample holds a sequence header."""
+
+    def scanned(samples: pd.Series) -> pd.Series:
+        return pd.Series([None if s is None else sequence_header(s) for s in samples], dtype=object)
+
+    return F.pandas_udf(scanned, BooleanType())(sample)
+
+
+def keyframe(codec: Column, sample: Column) -> Column:
+    """Whether a decoder can begin at a sample; audio always can, and an unknown codec's is null."""
+    return F.when(codec == "aac", True).when(codec == "h264", h264_keyframe(sample)).when(codec == "hevc", hevc_keyframe(sample)).when(codec == "av1", av1_keyframe(sample))
+
+
+def message_kind(body: Column) -> Column:
+    """The kind field of a message; null where the body is no JSON object that has one."""
+    return F.get_json_object(body.cast("string"), "$.kind")
+
+
+def message_start(body: Column) -> Column:
+    """The start_pts field of a message, in seconds."""
+    return F.get_json_object(body.cast("string"), "$.start_pts").cast("double")
 
 
 def strip_audio(name: Column) -> Column:

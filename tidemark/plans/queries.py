@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import address, codec
-from tidemark.operators import catalog, hold, logs, pacing, relation, timelines
+from tidemark.operators import catalog, hold, logs, pacing, relation, reports, timelines
 from tidemark.plans.registry import ORACLES, QUERIES
 
 
@@ -450,6 +450,105 @@ def trailing_total(spark, sf_dir):
     return logs.trailing_row(keyframe_groups(spark, sf_dir))
 
 
+# Reports.
+
+#: Paced groups with what they hold, in windows of 5000 ms, for DuckDB.
+TOLD = WALK + """,
+g AS (SELECT r.track, r.grp, r.cut, r.rel, r.rel - r.cut AS wait, r.unpaced, strlen(w.payload) AS bytes, w.pts_us / 1e6 AS pts_end FROM r JOIN wire w ON w.track = r.track AND w.frame_no = r.grp),
+c1 AS (SELECT track, cut // 5000 AS w, count(*) AS n, sum(bytes) AS b, max(pts_end) AS e FROM g GROUP BY ALL), c2 AS (SELECT track, rel // 5000 AS w, count(*) AS gone, max(wait) AS wait, count(*) FILTER (unpaced) AS u FROM g GROUP BY ALL),
+s AS (SELECT track, cut AS ms, 1 AS step FROM g WHERE wait > 0 UNION ALL SELECT track, rel, -1 FROM g WHERE wait > 0), d AS (SELECT track, ms, step, sum(step) OVER (PARTITION BY track ORDER BY ms, step RANGE UNBOUNDED PRECEDING) AS depth FROM s),
+d1 AS (SELECT track, ms // 5000 AS w, max(depth) AS top, arg_max(depth, 2 * ms + step) AS now FROM d GROUP BY ALL),
+j AS (SELECT track, w, n, b, e, gone, wait, u, top, now FROM c1 FULL JOIN c2 USING (track, w) LEFT JOIN d1 USING (track, w)),
+rows AS (SELECT track, w AS "window", CAST(coalesce(sum(n) OVER o, 0) AS BIGINT) AS groups, CAST(coalesce(sum(n) OVER o, 0) AS BIGINT) AS packets, CAST(coalesce(sum(b) OVER o, 0) AS BIGINT) AS bytes, max(e) OVER o AS media, CAST(coalesce(sum(gone) OVER o, 0) AS BIGINT) AS appended,
+  CAST(greatest(coalesce(top, 0), coalesce(last_value(now IGNORE NULLS) OVER (PARTITION BY track ORDER BY w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS BIGINT) AS queue_max, coalesce(wait, 0) AS wait_max_ms, coalesce(u, 0) AS unpaced
+  FROM j WINDOW o AS (PARTITION BY track ORDER BY w))"""
+
+
+def told(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frames = logs.kept(wire(spark, sf_dir))
+    groups = logs.group_rows(logs.cut_fragments(frames))
+    cut = frames.select("track", F.col("frame_no").alias("grp"), F.expr("pts_us div 50000000").alias("cut_ms"))
+    return reports.publisher_rows(logs.kept(pacing.release(cut, rtt=40)), groups)
+
+
+@query()
+def publisher_windows(spark, sf_dir):
+    return told(spark, sf_dir)
+
+
+ORACLES["publisher_windows"] = "WITH RECURSIVE " + COMMON + TOLD + """ SELECT track, "window", groups, packets, bytes, media, appended, appended AS closed, groups - appended AS queued, queue_max, wait_max_ms, unpaced FROM rows"""
+
+
+@query()
+def publisher_trailing(spark, sf_dir):
+    rows = logs.kept(told(spark, sf_dir))
+    return reports.trailing(rows, rows.select("track").distinct().select("track", F.encode(F.repeat("track", 3), "UTF-8").alias("init")))
+
+
+ORACLES["publisher_trailing"] = "WITH RECURSIVE " + COMMON + TOLD + """, p AS (SELECT track, max(groups) AS g, max(packets) AS p, max(bytes) AS b, max(queue_max) AS q, max(wait_max_ms) AS w, sum(unpaced) AS u FROM rows GROUP BY track)
+SELECT count(*) AS tracks, CAST(sum(g) AS BIGINT) AS groups, CAST(sum(p) AS BIGINT) AS packets, CAST(sum(b) AS BIGINT) AS bytes, CAST(sum(3 * strlen(track)) AS BIGINT) AS init_bytes, max(q) AS queue_max, max(w) AS wait_max_ms, CAST(sum(u) AS BIGINT) AS unpaced FROM p"""
+
+
+@query(""", x AS (SELECT 1) SELECT '{"track":"' || track || '","grp":' || grp || ',"packets":' || packets || ',"bytes":' || bytes || '}' AS line FROM gr""")
+def report_lines(spark, sf_dir):
+    return reports.lines(keyframe_groups(spark, sf_dir).select("track", "grp", "packets", "bytes"))
+
+
+@query(", j AS (SELECT track, arg_min(seq, arrival) AS f FROM arr WHERE seq % 5 = 3 GROUP BY track) SELECT j.track, f AS first, pts_start AS media, pts_start IS NOT NULL AS written FROM j LEFT JOIN gr ON gr.track = j.track AND gr.grp = f")
+def join_media_time(spark, sf_dir):
+    groups = logs.kept(keyframe_groups(spark, sf_dir))
+    fates = hold.live_join(logs.kept(hold.arrivals(groups)).withColumn("decodable", F.col("seq") % 5 == 3))
+    firsts = fates.where("fate = 'delivered'").groupBy("track").agg(F.min("seq").alias("first"))
+    return reports.joined_at(firsts, groups)
+
+
+@query(", k AS (SELECT track, grp, bool_or(s = 1) AS a, bool_or(s = 2) AS b FROM (SELECT track, grp, 1 AS s FROM gr UNION ALL SELECT track, seq, 2 FROM arr UNION ALL SELECT track, -1, 2 FROM gr WHERE track = 'view') GROUP BY track, grp) SELECT track, count(*) FILTER (a AND NOT b) AS only_left, count(*) FILTER (b AND NOT a) AS only_right, count(*) FILTER (a <> b) = 0 AS equal FROM k GROUP BY track")
+def key_sets(spark, sf_dir):
+    """Groups published and groups that arrived; one track got a group that nobody wrote."""
+    groups = logs.kept(keyframe_groups(spark, sf_dir))
+    odd = groups.where("track = 'view'").select("track", F.lit(-1).cast("long").alias("grp"))
+    came = hold.arrivals(groups).select("track", F.col("seq").alias("grp")).unionByName(odd)
+    return reports.compared(groups, came, "track", "grp")
+
+
+@query(SPOKEN + " SELECT event_id // 50 AS call, track, frame_no, row_number() OVER (PARTITION BY event_id // 50 ORDER BY kind <> 'data', track, frame_no) - 1 AS place FROM w")
+def messages_first(spark, sf_dir):
+    rows = spoken(spark, sf_dir).withColumn("call", F.expr("event_id div 50"))
+    return reports.messages_first(rows, "call").select("call", "track", "frame_no", "place")
+
+
+@query("""SELECT conv_id, turn, role AS kind, CASE WHEN turn % 3 <> 0 THEN turn / 4 END AS start_pts FROM conversations UNION ALL SELECT conv_id, -1 - turn, NULL, NULL FROM conversations""")
+def message_fields(spark, sf_dir):
+    """Fields of messages, and of bodies that are no JSON."""
+    c = table(spark, sf_dir, "conversations")
+    body = F.to_json(F.struct(F.col("role").alias("kind"), F.when(F.col("turn") % 3 != 0, F.col("turn") / 4).alias("start_pts"), "text"))
+    rows = c.select("conv_id", "turn", body.cast("binary").alias("body")).unionByName(c.select("conv_id", (-1 - F.col("turn")).alias("turn"), F.concat(F.lit("not json "), "role").cast("binary").alias("body")))
+    return rows.select("conv_id", "turn", codec.message_kind(F.col("body")).alias("kind"), codec.message_start(F.col("body")).alias("start_pts"))
+
+
+@query("""WITH t AS (SELECT CAST(n_nationkey AS BIGINT) AS b, unnest(generate_series(0, n_nationkey % 4)) AS k FROM nation), a AS (SELECT *, (b + k) % 3 <> 0 OR b % 2 = 0 AS done, b % 5 = 0 AND k = 1 AS open FROM t)
+SELECT b AS broadcast, count(*) FILTER (NOT done) AS unfinished, count(*) FILTER (open) AS outstanding, bool_and(done AND NOT open) AS over FROM a GROUP BY b""")
+def run_end(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("broadcast"))
+    rows = n.withColumn("k", F.explode(F.sequence(F.lit(0), (F.col("broadcast") % 4).cast("int")))).withColumn("track", F.concat(F.lit("t"), F.col("k").cast("string")))
+    asks = rows.select("broadcast", "track", F.lit(7).cast("long").alias("seq"), "k")
+    answers = asks.where("broadcast % 5 <> 0 or k <> 1").select("broadcast", "track", "seq")
+    return reports.run_over(rows.select("broadcast", "track"), rows.where("(broadcast + k) % 3 <> 0 or broadcast % 2 = 0"), asks.select("broadcast", "track", "seq"), answers)
+
+
+# Samples, and whether a decoder can begin at them.
+SAMPLES = [
+    ("h264", "0000000165aa", True), ("h264", "00000109f0000001419a", False), ("hevc", "000000014001000000012801", True), ("hevc", "000000010201", False), ("hevc", "0010000120", False), ("av1", "12000a020000", True),
+    ("av1", "120032020000", False), ("av1", "0a05", False), ("aac", "21", True), ("opus", "00", None),
+]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{s}', {'NULL' if k is None else k})" for c, s, k in SAMPLES) + ") t(codec, sample, keyframe)")
+def keyframe_samples(spark, sf_dir):
+    rows = spark.sql("SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{s}')" for c, s, _ in SAMPLES) + ") t(codec, sample)")
+    return rows.select("codec", "sample", codec.keyframe(F.col("codec"), F.unhex("sample")).alias("keyframe"))
+
+
 # Timelines.
 
 
