@@ -3,7 +3,7 @@
     <relay>/<broadcast>/catalog/       one line, the catalog document
     <relay>/<broadcast>/log/track=*/   Parquet files of frames
 
-`publish` writes one, `subscribe` reads one, in place of a relay. The data source
+`publish` writes one, `subscribe` reads one, in place of a relay; `last` marks the frame that ends a group. The data source
 `tidemark_wire` reads the log in batches or as a stream, and reads no track that
 the query filters out.
 """
@@ -24,9 +24,12 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 from pyspark.sql.datasource import In as IsIn
 
 from tidemark.operators import catalog, hold, logs
+from tidemark.streaming import ordered
 
-SCHEMA = "track string, grp long, frame_in_group long, pts_us long, keyframe boolean, payload binary"
-FIELDS = [f.split(" ")[0] for f in SCHEMA.split(", ")]
+LOG = "track string, grp long, frame_in_group long, pts_us long, keyframe boolean, payload binary, last boolean"
+FIELDS = [f.split(" ")[0] for f in LOG.split(", ")]
+#: What the source gives: the log and when a row landed, a number that grows with its file's time and with its place in the file.
+SCHEMA = LOG + ", landed long"
 
 
 #: Groups of a track that one task writes.
@@ -34,8 +37,8 @@ GROUPS = 4096
 
 
 class Part(InputPartition):
-    def __init__(self, path: str, track: str):
-        self.path, self.track = path, track
+    def __init__(self, path: str, track: str, at_ns: int):
+        self.path, self.track, self.at = path, track, at_ns
 
 
 def track_of(path: str) -> str:
@@ -46,16 +49,19 @@ def listed(location: str, tracks: set[str] | None = None) -> list[Part]:
     """The log's files in the order of their names, of the tracks asked for."""
     store, base = fs.FileSystem.from_uri(location)
     found = store.get_file_info(fs.FileSelector(f"{base}/log", recursive=True))
-    files = sorted(i.path for i in found if i.type == fs.FileType.File and i.path.endswith(".parquet"))
-    parts = [Part(p, track_of(p)) for p in files]
+    files = sorted((i.path, i.mtime_ns) for i in found if i.type == fs.FileType.File and i.path.endswith(".parquet"))
+    parts = [Part(p, track_of(p), at) for p, at in files]
     return [p for p in parts if tracks is None or p.track in tracks]
 
 
 def batches(location: str, part: Part) -> Iterator[pa.RecordBatch]:
     store, _ = fs.FileSystem.from_uri(location)
+    landed = part.at // 1_000_000 << 21
     with store.open_input_file(part.path) as f:
         for b in pq.ParquetFile(f).iter_batches(columns=FIELDS[1:]):
-            yield pa.RecordBatch.from_arrays([pa.array([part.track] * b.num_rows, pa.string()), *(b.column(n) for n in FIELDS[1:])], names=FIELDS)
+            at = pa.array(range(landed, landed + b.num_rows), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([part.track] * b.num_rows, pa.string()), *(b.column(n) for n in FIELDS[1:]), at], names=[*FIELDS, "landed"])
+            landed += b.num_rows
 
 
 class LogReader(DataSourceReader):
@@ -71,7 +77,7 @@ class LogReader(DataSourceReader):
             yield f  # Spark checks the rows again
 
     def partitions(self):
-        return listed(self.location, self.tracks) or [Part("", "")]
+        return listed(self.location, self.tracks) or [Part("", "", 0)]
 
     def read(self, partition):
         if partition.path:
@@ -105,7 +111,7 @@ class LogStreamReader(DataSourceStreamReader):
 
     def partitions(self, start, end):
         low, high = (start["at"], start["path"]), (end["at"], end["path"])
-        return [Part(p, track_of(p)) for at, p in self._files() if low < (at, p) <= high]
+        return [Part(p, track_of(p), at) for at, p in self._files() if low < (at, p) <= high]
 
     def read(self, partition):
         yield from batches(self.location, partition)
@@ -165,12 +171,12 @@ def publish(frames: DataFrame, tracks: DataFrame, relay: str, broadcast: str, **
     data = logs.cut_fragments(known.where("kind = 'data'"))
     names = ["track", "grp", "frame_no", "pts_us", "keyframe", "payload"]
     cut = video.select(names).unionByName(audio.select(names)).unionByName(data.select(names))
-    first = cut.groupBy("track", "grp").agg(F.min("frame_no").alias("f"))
-    wire = cut.join(first, ["track", "grp"]).select("track", "grp", (F.col("frame_no") - F.col("f")).alias("frame_in_group"), "pts_us", "keyframe", F.col("payload").cast("binary").alias("payload"))
+    first = cut.groupBy("track", "grp").agg(F.min("frame_no").alias("f"), F.max("frame_no").alias("l"))
+    wire = cut.join(first, ["track", "grp"]).select("track", "grp", (F.col("frame_no") - F.col("f")).alias("frame_in_group"), "pts_us", "keyframe", F.col("payload").cast("binary").alias("payload"), (F.col("frame_no") == F.col("l")).alias("last"))
     base = f"{relay.rstrip('/')}/{broadcast}"
     wire.repartition("track", F.floor(F.col("grp") / GROUPS)).sortWithinPartitions("track", "grp", "frame_in_group").write.mode("overwrite").partitionBy("track").parquet(f"{base}/log")
     catalog.document(tracks.withColumn("broadcast", F.lit(broadcast))).select("document").coalesce(1).write.mode("overwrite").text(f"{base}/catalog")
-    groups = logs.group_rows(frames.sparkSession.read.parquet(f"{base}/log").withColumn("track", F.col("track").cast("string")))
+    groups = logs.group_rows(frames.sparkSession.read.schema(LOG).parquet(f"{base}/log"))
     total = logs.trailing_row(groups).withColumn("kind", F.lit("trailing"))
     if p["rows"] == "groups":
         return groups.withColumn("kind", F.lit("group")).unionByName(total, allowMissingColumns=True)
@@ -233,6 +239,41 @@ class Subscription:
         out = reader.load()
         return out if tracks is None else out.where(F.col("track").isin(*tracks))
 
+    def events(self, stream: bool = True) -> DataFrame:
+        """The wire log as wire events: every frame, and a group's end behind its last one.
+
+        Events arrive in the order of files and of rows in them. A decoder can begin at any group of audio or of
+        messages, and at one of video whose first frame is a keyframe.
+        """
+        video = [r["name"] for r in self.renditions().where("kind = 'video'").select("name").distinct().collect()]  # the catalog's, one document
+        opens = F.when(F.col("frame_in_group") == 0, F.col("keyframe") | ~F.col("track").isin(*video))
+        at = F.col("landed") * 2
+        frame = F.struct(at.alias("arrival"), F.lit("frame").alias("event"), "grp", "frame_in_group", opens.alias("decodable"), "payload")
+        end = F.struct((at + 1).alias("arrival"), F.lit("end").alias("event"), "grp", F.col("frame_in_group"), F.lit(None).cast("boolean").alias("decodable"), F.lit(None).cast("binary").alias("payload"))
+        both = F.when(F.coalesce("last", F.lit(False)), F.array(frame, end)).otherwise(F.array(frame))
+        return self.frames(stream=stream).select("track", F.explode(both).alias("e")).select("track", "e.*")
+
+    def ordered(self, answers: DataFrame | None = None) -> DataFrame:
+        """The broadcast's tracks in sequence with report rows, as a stream: held as start, hold_ms, hold_mib and join_ms say.
+
+        answers: a stream of further wire events, such as `answered` makes of the rows of kind ask, and each track's
+        restarted and finished. Without a finished event a track's last hole stays open until the budget is spent.
+        """
+        came = self.events()
+        if answers is not None:
+            came = came.unionByName(answers.select(*came.columns))
+        p = self.params
+        return ordered.ordered(came, start=p["start"], wait_ms=p["hold_ms"], mib=p["hold_mib"], settle_ms=p["join_ms"])
+
+    def answered(self, asks: DataFrame) -> DataFrame:
+        """Wire events that answer asks (track, grp): the retained group, frame by frame, with its end, or that it is gone."""
+        asked = asks.select("track", "grp").distinct()
+        found = self.events(stream=False).join(asked, ["track", "grp"], "left_semi")
+        gone = asked.join(found.select("track", "grp").distinct(), ["track", "grp"], "left_anti")
+        none = lambda kind: F.lit(None).cast(kind)
+        told = gone.select("track", F.lit(0).cast("long").alias("arrival"), F.lit("gone").alias("event"), "grp", none("long").alias("frame_in_group"), none("boolean").alias("decodable"), none("binary").alias("payload"))
+        return found.unionByName(told)
+
     def missing(self, asks: DataFrame) -> DataFrame:
         """Answers to asks (track, seq) for groups outside the subscription."""
         return hold.fetch_lookup(asks, logs.group_rows(self.frames()))
