@@ -22,6 +22,15 @@ def test_calibration():
     assert abs(sum(p for p, _ in top) / len(top) - sum(r for _, r in top) / len(top)) < 0.08
 
 
+def test_words_between_template_words():
+    own = licences.trained()
+    words = licences.words_of
+    assert licences.aligned(words(b"All rights reserved."), words(b"Please note: all rights of way are reserved.")) < 0.75
+    assert licences.aligned(words(b"Released under the MIT License."), words(b"Released under the terms of the MIT License.")) > 0.75
+    assert licences.found(b"Please note: all rights of way are reserved.", own, 0.6, 0.75) == {}
+    assert set(licences.found(b"Copyright 2020 by nobody. All rights reserved.", own, 0.6, 0.75)) == {"proprietary"}
+
+
 LINES = {
     "Released under the MIT License.": "mit", "Licensed under CC BY-NC 4.0.": "cc-by-nc-4.0", "Licensed under the Apache License, Version 2.0.": "apache-2.0",
     "This work is licensed under the GNU General Public License, version 3.": "gpl-3.0", "All rights reserved.": "proprietary",

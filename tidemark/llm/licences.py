@@ -142,23 +142,26 @@ class Classifier:
 
 
 def aligned(template: list[bytes], words: list[bytes]) -> float:
-    """Longest common subsequence over the shorter of template and the paragraph's part from its first to its last shared word."""
+    """Longest common subsequence over the shorter of template and paragraph; other words between the shared ones lengthen that by half a word each."""
     shared = set(template)
     at = [i for i, w in enumerate(words) if w in shared]
+    short = max(1, min(len(template), max(3, len(words))))
     best = 0.0
     # Repeats of the template in one paragraph each are a chance: look at windows of twice its length.
     for lo in range(0, len(at), max(1, len(template))):
-        row = [0] * (len(template) + 1)
+        row = [(0, 0)] * (len(template) + 1)  # length and where it begins: of equal ones the latest, so the densest
         for i in at[lo : lo + 2 * len(template)]:
-            last = 0
+            last = (0, 0)
             for j, t in enumerate(template):
                 here = row[j + 1]
                 if words[i] == t:
-                    row[j + 1] = last + 1
+                    row[j + 1] = max(here, (last[0] + 1, last[1] if last[0] else i))
                 elif row[j] > here:
                     row[j + 1] = row[j]
                 last = here
-        best = max(best, row[-1] / max(1, min(len(template), max(3, len(words)))))
+            n, begin = row[-1]
+            if n:
+                best = max(best, n / max(short, n + (i - begin + 1 - n) / 2))
     return best
 
 
