@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, langid, licences, lm, secrets, shards, simhash, substrings, topk
+from tidemark.llm import bpe, decontaminate, divergence, filters, langid, licences, lm, secrets, shards, simhash, substrings, topk
 from tidemark.llm.common import table
 
 QUERIES: dict = {}
@@ -102,3 +102,68 @@ def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The table's files give the same partitions in both passes; that is checked as well.
     return shards.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), key=20, written_first=False)
+
+
+@query
+def op12_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op12_filters"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+f AS (
+  SELECT row_number() OVER () AS nth, part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad,
+    len(ws) < 100 AS a, 100 * len(list_distinct(ws)) < 80 * len(ws) AS b, 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) AS c,
+    regexp_matches(t, '[#$%&*|]') AS d, coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e
+  FROM d LEFT JOIN l USING (doc_id)),
+g AS (
+  SELECT nth, part, good, bad, letter, fail, count(*) FILTER (WHERE fail) OVER (PARTITION BY nth) AS fails
+  FROM f, LATERAL (VALUES ('A', a), ('B', b), ('C', c), ('D', d), ('E', e)) AS v(letter, fail)),
+ls AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM ls p, ls q, ls r, ls s, ls t
+  WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+h AS (
+  SELECT part, filter_order, instr(filter_order, letter) AS step, letter, nth, good, bad, fail, fails,
+    min(CASE WHEN fail THEN instr(filter_order, letter) ELSE 6 END) OVER (PARTITION BY nth, filter_order) AS gone
+  FROM g, o),
+s AS (
+  SELECT part, filter_order, step, letter, count(*) FILTER (WHERE gone > step) AS kept, count(*) FILTER (WHERE gone = step) AS removed,
+    count(*) FILTER (WHERE fail AND gone < step) AS redundant, count(*) FILTER (WHERE fail AND fails = 1) AS unique_fails,
+    count(*) FILTER (WHERE gone = step AND good = 1) AS good_lost, count(*) FILTER (WHERE gone = step AND bad = 1) AS toxic_lost
+  FROM h GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM s
+"""
+
+
+@query
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS nth, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT nth, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS lang_n FROM w GROUP BY lang, term HAVING count(DISTINCT nth) >= 30),
+c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v, sum(lang_n) AS n FROM k GROUP BY lang),
+full_ AS (SELECT g.lang, g.source, k.term, k.lang_n, coalesce(c.n, 0) AS n FROM g JOIN k ON g.lang = k.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT lang, source, sum(n) AS total FROM full_ GROUP BY lang, source),
+p AS (
+  SELECT f.lang, f.source, f.term, f.n, 1 + (1000000000::HUGEINT * (f.n + 5)) // (s.total + 5 * v.v) AS p, 1 + (1000000000::HUGEINT * (f.lang_n + 5)) // (v.n + 5 * v.v) AS q
+  FROM full_ f JOIN s USING (lang, source) JOIN v ON v.lang = f.lang),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, (SELECT coalesce(sum(abs(x.p - y.p)), 0) FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term
+    WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 50
+"""
