@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, divergence, filters, langid, licences, lm, secrets, shards, simhash, substrings, topk
+from tidemark.llm import bpe, decontaminate, divergence, filters, fingerprints, langid, licences, lm, secrets, shards, simhash, substrings, topk
 from tidemark.llm.common import table
 
 QUERIES: dict = {}
@@ -104,6 +104,40 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), key=20, written_first=False)
 
 
+@query
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.report(table(spark, sf_dir, "documents"))
+
+
+#: The cells are worked out by their definition; likeness from the sets of digests themselves, which peeling must recover.
+ORACLES["op11_fingerprints"] = r"""
+WITH o AS (
+  SELECT doc_id, coalesce(text, '') AS t, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id), '') AS nt,
+    lead(doc_id) OVER (ORDER BY doc_id) AS nid, min(doc_id) OVER () AS fid FROM documents),
+e AS (
+  SELECT doc_id, coalesce(nid, fid) AS next_id, length(t) AS n, t,
+    substring(t, 1, length(t) - length(t) // 4) || substring(nt, 1, length(t) // 4) AS et FROM o),
+v AS (SELECT doc_id, 'own' AS version, t FROM e UNION ALL SELECT doc_id, 'edited', et FROM e),
+d AS (
+  SELECT doc_id, version, list_distinct(list_transform(regexp_extract_all(t, '[^\n]{64,320}?[.!?][ \t]+|[^\n]{1,320}\n*|\n+'),
+    lambda p: CAST('0x' || substring(md5(p), 1, 15) AS BIGINT))) AS k FROM v),
+c AS (SELECT doc_id, version, k, unnest(range(24)) AS i FROM d),
+s AS (
+  SELECT doc_id, version, i, list_filter(k, lambda x: ((x >> CAST(8 * (i // 8) AS BIGINT)) & 7) = i % 8) AS m FROM c),
+f AS (
+  SELECT doc_id, version, string_agg(printf('%08x', len(m)) || printf('%016x', list_reduce(list_prepend(CAST(0 AS BIGINT), m), lambda a, x: xor(a, x)))
+    || printf('%08x', list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(m, lambda x: x % 4294967291)), lambda a, x: xor(a, x))), '' ORDER BY i) AS fp
+  FROM s GROUP BY doc_id, version)
+SELECT e.doc_id, CAST(e.n AS BIGINT) AS n_chars, sha256(e.et) AS edited_sha256, fo.fp AS fingerprint, fe.fp AS edited_fingerprint,
+  CASE WHEN len(a.k) + len(b.k) = 0 THEN 1.0 ELSE len(list_intersect(a.k, b.k)) / len(list_distinct(a.k || b.k)) END AS near_edited,
+  CASE WHEN len(a.k) + len(x.k) = 0 THEN 1.0 ELSE len(list_intersect(a.k, x.k)) / len(list_distinct(a.k || x.k)) END AS near_next,
+  CAST(len(a.k) AS BIGINT) AS n_pieces
+FROM e JOIN f fo ON fo.doc_id = e.doc_id AND fo.version = 'own' JOIN f fe ON fe.doc_id = e.doc_id AND fe.version = 'edited'
+  JOIN d a ON a.doc_id = e.doc_id AND a.version = 'own' JOIN d b ON b.doc_id = e.doc_id AND b.version = 'edited'
+  JOIN d x ON x.doc_id = e.next_id AND x.version = 'own'
+"""
+
+
 @query
 def op12_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
