@@ -1,11 +1,11 @@
 """Fingerprints of documents that tell two versions' differences: invertible Bloom lookup sketches of paragraphs.
 
-A paragraph here is a line; longer ones are cut at sentence ends, so that pieces have 64 characters at least and 320 at most, and
+A paragraph here is a line; longer ones are cut at sentence ends, so that pieces have 128 characters and up to 512, and
 the pieces, joined, are the text. Each distinct piece has a digest of 60 bits. A sketch is three rows of eight
 cells; a digest goes to one cell of each row, where counts are added and digests and check values are
 xored. Two texts' sketches are subtracted cell by cell: what both hold is gone, and cells that
 hold one digest alone tell it, which empties others, and so on. If cells are left over, there was too much for
-the sketch: it is tried again eight times as large, as eight sketches of an eighth of the digests each,
+the sketch: it is tried again with many small sketches, each for some of the digests, as large together as both texts may need,
 and only for the part that failed, up to DEEPEST times; what is left then is told digest by digest.
 
 All of it is expressions on rows (no Python on executors). A fingerprint is the first sketch in hex, so equal texts have
@@ -25,14 +25,16 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import project, written
 
-#: Within a line the shortest run of 64 to 320 characters up to a sentence's end, or else what is left of it, or 320.
-PIECE = r"[^\n]{64,320}?[.!?][ \t]+|[^\n]{1,320}\n*|\n+"
+#: Within a line the shortest run of 128 to 512 characters up to a sentence's end, or else what is left of it, or 512.
+PIECE = r"[^\n]{128,512}?[.!?][ \t]+|[^\n]{1,512}\n*|\n+"
 ROWS, CELLS = 3, 8
+#: Cells of a row in the later, smaller sketches, the digests that one is made for, and how many of them take one's place at most.
+LATER, LOAD, SPLIT = 4, 4, 64
 #: Check values are digests modulo this prime: no sum of digests passes for one by its bits.
 PRIME = 4_294_967_291
 #: Rounds of peeling; a chain in 24 cells is no longer.
 ROUNDS = ROWS * CELLS
-#: Times that a sketch is made eight times larger.
+#: Times that a sketch that failed is made several.
 DEEPEST = 5
 
 
@@ -54,10 +56,19 @@ def digests(text: str) -> str:
     return f"array_distinct(transform({pieces(text)}, p -> {digest('p')}))"
 
 
+def _width(level: int) -> int:
+    return LATER if level else CELLS
+
+
+def _every(level: int) -> str:
+    return f"sequence(0, {ROWS * _width(level) - 1})"
+
+
 def _placed(d: str, level: int) -> str:
-    """A digest with its check value, its cells as bits (one in each row), and the eighth that it belongs to if this is split."""
-    bits = " | ".join(f"shiftleft({1 << CELLS * r}, cast(shiftright(s, 8 * {r}) & {CELLS - 1} as int))" for r in range(ROWS))
-    known = f"named_struct('d', {d}, 'check', {d} % {PRIME}L, 'cells', {bits}, 'eighth', cast(shiftright(s, {8 * ROWS}) & 7 as int))"
+    """A digest with its check value, its cells as bits (one in each row), and the number that spreads it."""
+    n = _width(level)
+    bits = " | ".join(f"shiftleft({1 << n * r}, cast(shiftright(s, {8 * r}) & {n - 1} as int))" for r in range(ROWS))
+    known = f"named_struct('d', {d}, 'check', {d} % {PRIME}L, 'cells', {bits}, 'spread', s)"
     return let("s", f"xxhash64({d}, {level})" if level else d, known)
 
 
@@ -68,12 +79,11 @@ def _with(cell: str, held: str, sign: str) -> str:
 
 
 NONE = "named_struct('n', 0, 'digest', 0L, 'check', 0L)"
-EVERY = f"sequence(0, {ROWS * CELLS - 1})"
 
 
 def sketch(held: str) -> str:
     """The first sketch of an array of digests: its cells, row by row."""
-    return let("placed", f"transform({held}, d -> {_placed('d', 0)})", f"transform({EVERY}, i -> {_with(NONE, 'placed', '+ 1')})")
+    return let("placed", f"transform({held}, d -> {_placed('d', 0)})", f"transform({_every(0)}, i -> {_with(NONE, 'placed', '+ 1')})")
 
 
 def subtracted(a: str, b: str) -> str:
@@ -105,13 +115,14 @@ def _part(a: str, b: str, cells: str, level: int) -> str:
 
 
 def _larger(parts: str, level: int) -> str:
-    """Parts, of which each that is not done is eight now, with a sketch each."""
+    """Parts, of which each that is not done is several now, with a sketch each: enough if no digest is in both texts, SPLIT at most."""
     placed = lambda held: f"transform({held}, d -> {_placed('d', level)})"
-    mine = lambda held: f"filter({held}, x -> x.eighth = e)"
-    cells = f"transform({EVERY}, i -> {_with(_with(NONE, 'w.a', '+ 1'), 'w.b', '- 1')})"
+    mine = lambda held: f"filter({held}, x -> pmod(shiftright(x.spread, {8 * ROWS}), m.n) = e)"
+    cells = f"transform({_every(level)}, i -> {_with(_with(NONE, 'w.a', '+ 1'), 'w.b', '- 1')})"
     one = let("w", f"named_struct('a', {mine('m.a')}, 'b', {mine('m.b')})", _part("w.a.d", "w.b.d", cells, level))
-    eight = let("m", f"named_struct('a', {placed('p.a')}, 'b', {placed('p.b')})", f"transform(sequence(0, 7), e -> {one})")
-    return f"flatten(transform({parts}, p -> case when p.done then array(p) else {eight} end))"
+    several = f"cast(least({SPLIT}, greatest(2, (size(p.a) + size(p.b)) div {LOAD})) as bigint)"
+    split = let("m", f"named_struct('a', {placed('p.a')}, 'b', {placed('p.b')}, 'n', {several})", f"transform(sequence(0L, m.n - 1), e -> {one})")
+    return f"flatten(transform({parts}, p -> case when p.done then array(p) else {split} end))"
 
 
 def difference(df: DataFrame, a: str, b: str, only_a: str, only_b: str, a_cells: str | None = None, b_cells: str | None = None) -> DataFrame:

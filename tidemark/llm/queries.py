@@ -119,7 +119,7 @@ e AS (
     substring(t, 1, length(t) - length(t) // 4) || substring(nt, 1, length(t) // 4) AS et FROM o),
 v AS (SELECT doc_id, 'own' AS version, t FROM e UNION ALL SELECT doc_id, 'edited', et FROM e),
 d AS (
-  SELECT doc_id, version, list_distinct(list_transform(regexp_extract_all(t, '[^\n]{64,320}?[.!?][ \t]+|[^\n]{1,320}\n*|\n+'),
+  SELECT doc_id, version, list_distinct(list_transform(regexp_extract_all(t, '[^\n]{128,512}?[.!?][ \t]+|[^\n]{1,512}\n*|\n+'),
     lambda p: CAST('0x' || substring(md5(p), 1, 15) AS BIGINT))) AS k FROM v),
 c AS (SELECT doc_id, version, k, unnest(range(24)) AS i FROM d),
 s AS (
