@@ -60,14 +60,14 @@ def test_stream_goes_on_and_begins_live(spark, published, tmp_path):
     src = wirelog.subscribe(spark, relay, "live/demo").frames().where("track = 'click'").cache()
     n = src.count()
     base = f"{relay}/live/growing"
-    src.write.partitionBy("track").parquet(f"{base}/log/batch=0")
+    wirelog.append(src, relay, "live/growing")
     names = {}
     for start in ("live", "backlog"):
         names[start] = wirelog.subscribe(spark, relay, "live/growing", start=start).frames(stream=True).writeStream.format("memory").queryName(f"from_{start}").option("checkpointLocation", str(tmp_path / start)).start()
     try:
         for q in names.values():
             q.processAllAvailable()
-        src.write.partitionBy("track").parquet(f"{base}/log/batch=1")
+        wirelog.append(src, relay, "live/growing")
         for q in names.values():
             q.processAllAvailable()
     finally:
@@ -120,7 +120,7 @@ def test_ordered_broadcast(spark, tmp_path):
     # The same broadcast again, as a log that lands group by group: 1, 0, 3, 2, ... and never 5.
     wirelog.publish(frames.where("frame_no < 0"), spark.createDataFrame([(*TRACKS[0][:1], "v", *TRACKS[0][2:])], SCHEMA), relay, "late")
     for i in [n for n in (1, 0, 3, 2, 4, 7, 6, 9, 8)]:
-        whole.frames().where(F.col("grp") == i).coalesce(1).write.partitionBy("track").parquet(f"{relay}/late/log/batch={i}")
+        wirelog.append(whole.frames().where(F.col("grp") == i), relay, "late")
     late = wirelog.subscribe(spark, relay, "late", start="backlog", hold_ms=600_000, join_ms=600_000)
     answers = str(tmp_path / "answers")
     asked = spark.createDataFrame([("v", 5), ("v", 99)], "track string, grp long")

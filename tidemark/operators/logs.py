@@ -13,30 +13,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Values of the order column that one chunk spans.
 CHUNK = 1 << 20
 
 
-def running(df: DataFrame, key: str, order: str, chunk: int = CHUNK, before: bool = False, **out: tuple[str, Column]) -> DataFrame:
+def running(df: DataFrame, key: str, order: str, chunk: int = CHUNK, before: bool | set[str] = False, **out: tuple[str, Column]) -> DataFrame:
     """df with running values of each key in the order of an integer column, several in one pass.
 
     out: name=(kind, value); kind is sum, max or last (the last value that isn't null).
-    Up to and with the row, or up to the row before. A sum of nothing is 0, else nothing is null.
+    Up to and with the row, or up to the row before (all of them, or those that before names). A sum of nothing is 0, else nothing is null.
     """
     names = list(out)
     held = [f"__v{i}" for i in range(len(names))]
     cut = df.withColumns({"__chunk": F.floor(F.col(order) / chunk), **{v: out[n][1] for v, n in zip(held, names, strict=True)}})
-    inside = Window.partitionBy(key, "__chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1 if before else 0)
+    earlier_ones = set(names) if before is True else before or set()
+    inside = {n: Window.partitionBy(key, "__chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1 if n in earlier_ones else 0) for n in names}
     earlier = Window.partitionBy("__key").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
     over = {"sum": F.sum, "max": F.max, "last": lambda c: F.last(c, ignorenulls=True)}
     total = {"sum": F.sum, "max": F.max, "last": lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order)))}
     kinds = dict(zip(held, (out[n][0] for n in names), strict=True))
     totals = cut.groupBy(F.col(key).alias("__key"), F.col("__chunk").alias("__at")).agg(*[total[k](v).alias(v) for v, k in kinds.items()])
     starts = totals.select("__key", "__at", *[over[k](v).over(earlier).alias(f"{v}s") for v, k in kinds.items()])
-    local = cut.withColumns({f"{v}l": over[k](v).over(inside) for v, k in kinds.items()})
+    local = cut.withColumns({f"{v}l": over[k](v).over(inside[n]) for (v, k), n in zip(kinds.items(), names, strict=True)})
     met = local.join(starts, local[key].eqNullSafe(starts["__key"]) & local["__chunk"].eqNullSafe(starts["__at"]))
     both = {
         "sum": lambda v: F.coalesce(F.col(f"{v}l"), F.lit(0)) + F.coalesce(F.col(f"{v}s"), F.lit(0)),
@@ -51,13 +52,21 @@ def running_sum(df: DataFrame, key: str, order: str, value: Column, out: str, ch
     return running(df, key, order, chunk, **{out: ("sum", value.cast("long"))})
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """df worked out once, in the folder that driver and executors share: for what several branches of a query read."""
-    context = df.sparkSession.sparkContext
-    if not (df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share; one of our own only where none is named, and only on one machine."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
         if not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tidemark-"))
+        named = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        context.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df worked out once, in the folder that driver and executors share: for what several branches of a query read."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.logs import running
+from tidemark.operators.logs import kept, running
 
 #: A track's totals are told for windows of this length.
 WINDOW_MS = 5000
@@ -33,16 +33,20 @@ def publisher_rows(released: DataFrame, groups: DataFrame, window_ms: int = WIND
     waited (what waited as it began included), the longest wait and the early leaves among what left in it.
     """
     told = released.join(groups.select("track", "grp", F.col("packets").alias("p"), F.col("bytes").alias("b"), F.col("pts_end").alias("e")), ["track", "grp"], "left")
-    at = lambda c: F.floor(F.col(c) / window_ms).cast("long").alias("window")
-    cut = told.groupBy("track", at("cut_ms")).agg(F.count("*").alias("n"), F.sum("p").alias("p"), F.sum("b").alias("b"), F.max("e").alias("e"))
-    left = released.groupBy("track", at("release_ms")).agg(F.count("*").alias("gone"), F.max("wait_ms").alias("w"), F.count_if("unpaced").alias("u"))
-    depth = depths(released).groupBy("track", at("ms")).agg(F.max("depth").alias("top"), F.max_by("depth", "at").alias("now"))
-    rows = cut.join(left, ["track", "window"], "full").join(depth, ["track", "window"], "left")
-    total = running(
-        rows, "track", "window", groups=("sum", F.coalesce("n", F.lit(0))), packets=("sum", F.coalesce("p", F.lit(0))), bytes=("sum", F.coalesce("b", F.lit(0))),
-        media=("max", F.col("e")), appended=("sum", F.coalesce("gone", F.lit(0))),
+    # A group is two changes: it is cut, and it leaves. What a window tells is carried along with them, so they are read in one pass.
+    waits, none = (F.col("release_ms") > F.col("cut_ms")).cast("long"), F.lit(None)
+    cut = F.struct(F.col("cut_ms").alias("ms"), (2 * F.col("cut_ms") + 1).alias("at"), waits.alias("by"), F.lit(1).alias("n"), "p", "b", "e", F.lit(0).alias("gone"), none.cast("long").alias("w"), F.lit(False).alias("u"))
+    left = F.struct(F.col("release_ms").alias("ms"), (2 * F.col("release_ms")).alias("at"), (-waits).alias("by"), F.lit(0).alias("n"), *[none.cast(k).alias(c) for c, k in (("p", "long"), ("b", "long"), ("e", "double"))], F.lit(1).alias("gone"), F.col("wait_ms").alias("w"), F.col("unpaced").alias("u"))
+    each = told.select("track", F.explode(F.array(cut, left)).alias("x")).select("track", "x.*")
+    changes = kept(each.groupBy("track", "ms", "at").agg(*[F.sum(c).alias(c) for c in ("by", "n", "p", "b", "gone")], F.max("e").alias("e"), F.max("w").alias("w"), F.count_if("u").alias("u")))
+    deep = running(changes, "track", "at", depth=("sum", F.col("by")))
+    rows = kept(deep.groupBy("track", F.floor(F.col("ms") / window_ms).cast("long").alias("window")).agg(
+        *[F.sum(c).alias(c) for c in ("n", "p", "b", "gone", "u")], F.max("e").alias("e"), F.max("w").alias("w"), F.max("depth").alias("top"), F.max_by("depth", "at").alias("now"),
+    ))
+    full = running(
+        rows, "track", "window", before={"__was"}, groups=("sum", F.coalesce("n", F.lit(0))), packets=("sum", F.coalesce("p", F.lit(0))), bytes=("sum", F.coalesce("b", F.lit(0))),
+        media=("max", F.col("e")), appended=("sum", F.coalesce("gone", F.lit(0))), __was=("last", F.col("now")),
     )
-    full = running(total, "track", "window", before=True, __was=("last", F.col("now")))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     return full.select(
         "track", "window", "groups", "packets", "bytes", "media", "appended", F.col("appended").alias("closed"), (F.col("groups") - F.col("appended")).alias("queued"),

@@ -6,10 +6,10 @@ value is carried over, so no pair of rows is ever made only to be dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.logs import running
+from tidemark.operators.logs import kept, running
 
 #: Microseconds that a chunk of a timeline spans, a little over a day.
 SPAN = 1 << 37
@@ -69,16 +69,17 @@ def above_floor(rows: DataFrame, key: str, time: str, late: str, reach: int) ->
 
 def batches(rows: DataFrame, key: str, time: str, gap: int) -> DataFrame:
     """key, batch (from 0), packets: a packet that comes gap or more after the last one opens a batch."""
-    once = rows.groupBy(key, time).agg(F.count("*").alias("__n"))
-    stepped = running(once, key, time, SPAN, before=True, __b=("last", F.col(time)))
-    opens = F.coalesce((F.col(time) - F.col("__b") >= gap).cast("long"), F.lit(0))
-    return running(stepped, key, time, SPAN, batch=("sum", opens)).groupBy(key, "batch").agg(F.sum("__n").alias("packets"))
-
-
-def at_rank(value: str, share: float) -> Column:
-    """A percentile by nearest rank: the value at floor(n * share) from 0, the last one at most."""
-    each = F.array_sort(F.collect_list(value))
-    return F.element_at(each, (F.least(F.size(each) - 1, F.floor(F.size(each) * share)) + 1).cast("int"))
+    once = kept(rows.groupBy(key, time).agg(F.count("*").alias("__n")).withColumn("__chunk", F.floor(F.col(time) / SPAN)))
+    # Inside a chunk the packet before tells; of chunks, the one before's last packet.
+    inside = Window.partitionBy(key, "__chunk").orderBy(time)
+    opens = lambda at, last, w: F.coalesce((F.col(at) - F.lag(last).over(w) >= gap).cast("long"), F.lit(0))
+    local = once.withColumn("__o", opens(time, time, inside))
+    ends = local.groupBy(F.col(key).alias("__key"), F.col("__chunk").alias("__at")).agg(F.sum("__o").alias("__in"), F.min(time).alias("__a"), F.max(time).alias("__b"))
+    along = Window.partitionBy("__key").orderBy("__at")
+    ends = ends.withColumn("__f", opens("__a", "__b", along)).withColumn("__base", F.sum(F.col("__in") + F.col("__f")).over(along) - F.col("__in"))
+    summed = local.withColumn("__l", F.sum("__o").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    met = summed.join(ends, summed[key].eqNullSafe(ends["__key"]) & (summed["__chunk"] == ends["__at"]))
+    return met.groupBy(key, (F.col("__base") + F.col("__l")).alias("batch")).agg(F.sum("__n").alias("packets"))
 
 
 def ranked(rows: DataFrame, key: str, value: str, shares: dict[str, float]) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import address, codec
 from tidemark.operators import catalog, hold, logs, pacing, relation, reports, timelines
 from tidemark.plans.registry import ORACLES, QUERIES
+from tidemark.sources import wirelog
 
 
 def query(sql: str | None = None):
@@ -212,20 +215,23 @@ def catalog_relation(spark, sf_dir):
     return rel.select("broadcast", F.col("row").cast("int").alias("row"), "name", "codecs", "height", F.array_join("audio", ",").alias("audio"), F.array_join("data", ",").alias("data"), "bandwidth")
 
 
-BROKEN = """(VALUES
-  (1, '{"video":{"renditions":{"v":{"codec":"avc1.42c01e","container":{"kind":"cmaf","init":"AA=="}}}}}'),
-  (2, '{"audio":{"renditions":{"a":{"codec":"opus"}}},"clock":{}}'),
-  (3, '{"video":{"renditions":{"v":{"codec":"avc1.42c01e","container":{"kind":"loc"}}}}}'),
-  (4, '{"data":{"renditions":{"d":{"codec":"json","container":{"kind":"legacy"},"timescale":0},"e":{"codec":"json","container":{"kind":"legacy"},"timescale":90000}}}}'),
-  (5, '{"data":{"renditions":{"d":{"codec":"json","container":{"kind":"cmaf"},"timescale":1}}}}'),
-  (6, '{"video":{"renditions":{"v":{"codec":"avc1.42c01e","description":"00","container":{"kind":"cmaf"}}}}}'),
-  (7, '{"video":{"renditions":{"v":{"codec":"avc3","container":{"kind":"legacy"}}}}}'))"""
+#: Documents, all but the last of which a reader refuses.
+BROKEN = {
+    1: '{"video":{"renditions":{"v":{"codec":"avc1.42c01e","container":{"kind":"cmaf","init":"AA=="}}}}}',
+    2: '{"audio":{"renditions":{"a":{"codec":"opus"}}},"clock":{}}',
+    3: '{"video":{"renditions":{"v":{"codec":"avc1.42c01e","container":{"kind":"loc"}}}}}',
+    4: '{"data":{"renditions":{"d":{"codec":"json","container":{"kind":"legacy"},"timescale":0},"e":{"codec":"json","container":{"kind":"legacy"},"timescale":90000}}}}',
+    5: '{"data":{"renditions":{"d":{"codec":"json","container":{"kind":"cmaf"},"timescale":1}}}}',
+    6: '{"video":{"renditions":{"v":{"codec":"avc1.42c01e","description":"00","container":{"kind":"cmaf"}}}}}',
+    7: '{"video":{"renditions":{"v":{"codec":"avc3","container":{"kind":"legacy"}}}}}',
+}
 
 
-@query("SELECT * FROM (VALUES (1, 'v', 'no description'), (2, 'a', 'no container'), (3, 'v', 'container not taken'), (4, 'd', 'timescale'), (5, 'd', 'data is legacy'), (6, 'v', 'no init')) t(broadcast, name, problem)")
+@query("SELECT CAST(p_partkey AS BIGINT) AS broadcast, name, problem FROM part JOIN (VALUES (1, 'v', 'no description'), (2, 'a', 'no container'), (3, 'v', 'container not taken'), (4, 'd', 'timescale'), (5, 'd', 'data is legacy'), (6, 'v', 'no init')) t(k, name, problem) ON p_partkey % 8 = k")
 def catalog_refusals(spark, sf_dir):
-    docs = spark.sql(f"SELECT * FROM {BROKEN} t(broadcast, document)")
-    return catalog.problems(catalog.renditions(docs))
+    docs = F.create_map(*[x for k, d in BROKEN.items() for x in (F.lit(k), F.lit(d))])
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("long").alias("broadcast"), docs[(F.col("p_partkey") % 8).cast("int")].alias("document"))
+    return catalog.problems(catalog.renditions(rows.where("document is not null")))
 
 
 def pads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -389,17 +395,34 @@ def join_gate(spark, sf_dir):
     return logs.join_gate(wire(spark, sf_dir)).select("track", "frame_no", "event_id")
 
 
-@query("SELECT * FROM (VALUES ('1190', 'mp4a.40.2'), ('2b92', 'mp4a.40.5'), ('f8c0', 'mp4a.40.38'), ('', 'mp4a.40')) t(config, codec)")
+CONFIG = """c AS (SELECT p_partkey, p_size, CASE WHEN p_partkey % 95 >= 31 THEN p_partkey % 95 + 1 ELSE p_partkey % 95 END AS t FROM part),
+x AS (SELECT p_partkey, t, CASE WHEN p_size % 9 = 0 THEN '' WHEN t < 31 THEN printf('%02X%02X', t * 8 + p_size % 8, p_partkey % 256) ELSE printf('%02X%02X', 248 + (t - 32) // 8, (t - 32) % 8 * 32 + p_size % 32) END AS config FROM c)"""
+
+
+def hexed(*numbers: str) -> str:
+    """Numbers under 256 as hex digits, two each; SQL text."""
+    return " || ".join(f"lpad(hex({n}), 2, '0')" for n in numbers)
+
+
+@query(f"WITH {CONFIG} SELECT CAST(p_partkey AS BIGINT) AS p_partkey, config, CASE WHEN config = '' THEN 'mp4a.40' ELSE 'mp4a.40.' || t END AS codec FROM x")
 def aac_codec(spark, sf_dir):
-    rows = spark.sql("SELECT * FROM (VALUES ('1190'), ('2b92'), ('f8c0'), ('')) t(config)")
-    return rows.select("config", codec.aac_codec(codec.from_hex(F.col("config"))).alias("codec"))
+    parts = table(spark, sf_dir, "part").selectExpr("cast(p_partkey as bigint) p_partkey", "p_size", "if(p_partkey % 95 >= 31, p_partkey % 95 + 1, p_partkey % 95) t")
+    short, long = hexed("t * 8 + p_size % 8", "p_partkey % 256"), hexed("248 + (t - 32) div 8", "(t - 32) % 8 * 32 + p_size % 32")
+    rows = parts.withColumn("config", F.expr(f"case when p_size % 9 = 0 then '' when t < 31 then {short} else {long} end"))
+    return rows.select("p_partkey", "config", codec.aac_codec(codec.from_hex(F.col("config"))).alias("codec"))
+
+
+NAMES = """n AS (SELECT CAST(p_partkey AS BIGINT) AS p_partkey, p_size, p_partkey % 256 AS a, p_size % 256 AS b, p_partkey * 7 % 256 AS c, p_size % 6 AS k FROM part)"""
 
 
-@query("SELECT * FROM (VALUES ('avc1.64001f', 'h264', 100, 31), ('avc3.42C01E', 'h264', 66, 30), ('hev1.1.6.L93', 'hevc', NULL, NULL), ('hvc1', 'hevc', NULL, NULL), ('av01.0.04M.08', 'av1', NULL, NULL), ('mp4a.40.2', 'aac', NULL, NULL)) t(name, codec, profile, level)")
+@query(f"""WITH {NAMES} SELECT p_partkey, CASE k WHEN 0 THEN 'avc1.' || printf('%02X%02X%02X', a, b, c) WHEN 1 THEN 'avc3.' || printf('%02x%02x%02x', a, b, c) WHEN 2 THEN 'hev1.1.6.L' || p_size WHEN 3 THEN 'hvc1'
+  WHEN 4 THEN 'av01.0.04M.08' ELSE 'mp4a.40.' || p_size END AS name, ['h264', 'h264', 'hevc', 'hevc', 'av1', 'aac'][k + 1] AS codec, CAST(CASE WHEN k < 2 THEN a END AS INTEGER) AS profile, CAST(CASE WHEN k < 2 THEN c END AS INTEGER) AS level FROM n""")
 def codec_names(spark, sf_dir):
-    rows = spark.sql("SELECT * FROM (VALUES ('avc1.64001f'), ('avc3.42C01E'), ('hev1.1.6.L93'), ('hvc1'), ('av01.0.04M.08'), ('mp4a.40.2')) t(name)")
+    six = hexed("p_partkey % 256", "p_size % 256", "p_partkey * 7 % 256")
+    named = f"case p_size % 6 when 0 then 'avc1.' || {six} when 1 then 'avc3.' || lower({six}) when 2 then 'hev1.1.6.L' || p_size when 3 then 'hvc1' when 4 then 'av01.0.04M.08' else 'mp4a.40.' || p_size end"
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("long").alias("p_partkey"), F.expr(named).alias("name"))
     pl = codec.avc_profile_level(F.col("name"))
-    return rows.select("name", codec.codec_of(F.col("name")).alias("codec"), pl["profile"].alias("profile"), pl["level"].alias("level"))
+    return rows.select("p_partkey", "name", codec.codec_of(F.col("name")).alias("codec"), pl["profile"].alias("profile"), pl["level"].alias("level"))
 
 
 @query(", x AS (SELECT DISTINCT event_id FROM wire) SELECT event_id, lower(hex(encode(payload))) AS hex, base64(encode(payload)) AS base64, rtrim(translate(base64(encode(payload)), '+/', '-_'), '=') AS base64url, payload AS back FROM wire")
@@ -536,17 +559,18 @@ def run_end(spark, sf_dir):
     return reports.run_over(rows.select("broadcast", "track"), rows.where("(broadcast + k) % 3 <> 0 or broadcast % 2 = 0"), asks.select("broadcast", "track", "seq"), answers)
 
 
-# Samples, and whether a decoder can begin at them.
-SAMPLES = [
-    ("h264", "0000000165aa", True), ("h264", "00000109f0000001419a", False), ("hevc", "000000014001000000012801", True), ("hevc", "000000010201", False), ("hevc", "0010000120", False), ("av1", "12000a020000", True),
-    ("av1", "120032020000", False), ("av1", "0a05", False), ("aac", "21", True), ("opus", "00", None),
-]
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{s}', {'NULL' if k is None else k})" for c, s, k in SAMPLES) + ") t(codec, sample, keyframe)")
+@query("""SELECT CAST(p_partkey AS BIGINT) AS p_partkey, ['h264', 'hevc', 'av1', 'aac', 'opus'][p_partkey % 5 + 1] AS codec,
+  CASE p_partkey % 5 WHEN 0 THEN p_size % 32 = 5 OR p_partkey // 5 % 32 = 5 WHEN 1 THEN p_size % 64 BETWEEN 16 AND 23 OR p_partkey // 5 % 64 BETWEEN 16 AND 23 WHEN 2 THEN p_size % 8 = 0 AND p_partkey % 3 <> 0 WHEN 3 THEN true END AS keyframe FROM part""")
 def keyframe_samples(spark, sf_dir):
-    rows = spark.sql("SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{s}')" for c, s, _ in SAMPLES) + ") t(codec, sample)")
-    return rows.select("codec", "sample", codec.keyframe(F.col("codec"), F.unhex("sample")).alias("keyframe"))
+    """Samples of two units each, of types that the part's numbers tell; every third AV1 sample breaks off."""
+    h264 = f"'00000001' || {hexed('96 + p_size % 32')} || 'AA000001' || {hexed('p_partkey div 5 % 32')} || '80'"
+    hevc = f"'00000001' || {hexed('p_size % 64 * 2')} || '01AA000001' || {hexed('p_partkey div 5 % 64 * 2')} || '01'"
+    av1 = f"'1200' || {hexed('(1 + p_size % 8) * 8 + 2')} || if(p_partkey % 3 = 0, '03', '02') || 'AABB'"
+    rows = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("long").alias("p_partkey"), F.expr("element_at(array('h264', 'hevc', 'av1', 'aac', 'opus'), cast(p_partkey % 5 as int) + 1)").alias("codec"),
+        F.unhex(F.expr(f"case p_partkey % 5 when 0 then {h264} when 1 then {hevc} when 2 then {av1} else '21' end")).alias("sample"),
+    )
+    return rows.select("p_partkey", "codec", codec.keyframe(F.col("codec"), F.col("sample")).alias("keyframe"))
 
 
 # Timelines.
@@ -608,7 +632,7 @@ def lateness_floor(spark, sf_dir):
 
 @query(", b AS (SELECT track, sum(o) OVER (PARTITION BY track ORDER BY pts_us ROWS UNBOUNDED PRECEDING) AS batch FROM (SELECT track, pts_us, coalesce(CAST(pts_us - lag(pts_us) OVER (PARTITION BY track ORDER BY pts_us) >= 1800000000 AS BIGINT), 0) AS o FROM wire)) SELECT track, CAST(batch AS BIGINT) AS batch, count(*) AS packets FROM b GROUP BY ALL")
 def arrival_batches(spark, sf_dir):
-    return timelines.batches(wire(spark, sf_dir), "track", "pts_us", 1_800_000_000)
+    return timelines.batches(logs.packets(table(spark, sf_dir, "events")).select("track", "pts_us"), "track", "pts_us", 1_800_000_000)
 
 
 @query(LATE + ", o AS (SELECT track, list(late ORDER BY late) AS l, count(*) AS n FROM t GROUP BY track) SELECT track, n, (l[(n - 1) // 2 + 1] + l[n // 2 + 1]) / 2 AS median, l[CAST(least(n - 1, floor(n * 0.9)) AS BIGINT) + 1] AS p90, l[CAST(least(n - 1, floor(n * 0.99)) AS BIGINT) + 1] AS p99, l[n] AS greatest FROM o")
@@ -633,22 +657,116 @@ def summary_windows(spark, sf_dir):
 
 # Addresses.
 
-ADDRESSES = [
-    ("quic://relay.example:4443", "", "", None), ("relay.example", "abc", "/abc", None), ("https://relay.example/tok", "", "/tok", None), ("https://relay.example/tok", "tok", "/tok", None),
-    ("https://relay.example/tok", "other", None, "two tokens"), ("https://relay.example/root?jwt=t1", "t1", "/root?jwt=t1", None), ("https://relay.example/root?jwt=t1", "t2", None, "two tokens"),
-    ("https://relay.example/?jwt=", "t", "/?jwt=", None), ("https://relay.example/a#b", "", None, "fragment"), ("https://relay.example/?Token=x", "", None, "token parameter"),
-    ("relay.example:99999", "", None, "not a port"), ("https://[::1]:443/x", "", "/x", None), ("[::1]", "", "", None), ("https:///x", "", None, "no host"), ("relay.example:abc", "", None, "not a port"),
-]
-
-
-@query("SELECT * FROM (VALUES " + ", ".join("(" + ", ".join("NULL" if x is None else "'" + x + "'" for x in a) + ")" for a in ADDRESSES) + ") t(url, token, path, refused)")
+#: Relay addresses out of pages' own, with a port for each third page, a token of its own for some, and a token to go with them.
+RELAYS = """u AS (SELECT page_id, split_part(url, '://', 1) AS scheme, split_part(split_part(split_part(split_part(url, '://', 2), '/', 1), '?', 1), '#', 1) AS host,
+    split_part(split_part(split_part(url, '#', 1), '?', 1), '/', 4) || CASE WHEN len(string_split(split_part(split_part(url, '#', 1), '?', 1), '/')) > 4 THEN '/' || split_part(split_part(split_part(url, '#', 1), '?', 1), '/', 5) ELSE '' END AS path,
+    split_part(split_part(url, '#', 1), '?', 2) AS q, split_part(url, '#', 2) AS fragment, CASE WHEN page_id % 3 = 0 THEN 1000 + page_id % 60000 END AS port, CASE WHEN page_id % 5 = 0 THEN 't' || page_id % 7 END AS jwt FROM pages),
+v AS (SELECT *, CASE WHEN jwt IS NULL THEN q WHEN q = '' THEN 'jwt=' || jwt ELSE q || '&jwt=' || jwt END AS query, ['', path, 'other', 't3'][page_id % 4 + 1] AS token FROM u),
+r AS (SELECT *, scheme || '://' || host || CASE WHEN port IS NULL THEN '' ELSE ':' || port END AS origin, coalesce(jwt, path) AS own FROM v),
+a AS (SELECT *, origin || '/' || path || CASE WHEN query = '' THEN '' ELSE '?' || query END || CASE WHEN fragment = '' THEN '' ELSE '#' || fragment END AS url FROM r)"""
+
+
+def relays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, token, and the address's parts."""
+    p = table(spark, sf_dir, "pages").select("page_id", address.parts(F.col("url")).alias("p"))
+    p = p.withColumn("jwt", F.when(F.col("page_id") % 5 == 0, F.concat(F.lit("jwt=t"), (F.col("page_id") % 7).cast("string"))))
+    query = F.concat_ws("&", F.nullif(F.col("p.query"), F.lit("")), "jwt")
+    port = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit(":"), (1000 + F.col("page_id") % 60000).cast("string"))).otherwise("")
+    mark = lambda m, c: F.when(c != "", F.concat(F.lit(m), c)).otherwise("")
+    url = F.concat("p.origin", port, F.lit("/"), "p.path", mark("?", query), mark("#", F.col("p.fragment")))
+    token = F.element_at(F.array(F.lit(""), F.col("p.path"), F.lit("other"), F.lit("t3")), (F.col("page_id") % 4 + 1).cast("int"))
+    return p.select("page_id", url.alias("url"), token.alias("token")).withColumn("p", address.parts(F.col("url")))
+
+
+@query(f"""WITH {RELAYS}, w AS (SELECT *, CASE WHEN fragment <> '' THEN 'fragment' WHEN token <> '' AND own <> '' AND token <> own THEN 'two tokens' END AS refused FROM a)
+SELECT page_id, url, token, CASE WHEN refused IS NULL THEN CASE WHEN path = '' AND query = '' THEN CASE WHEN token = '' THEN '' ELSE '/' || token END ELSE '/' || path || CASE WHEN query = '' THEN '' ELSE '?' || query END END END AS path, refused FROM w""")
 def url_session_path(spark, sf_dir):
-    values = ", ".join(f"('{u}', '{t}')" for u, t, _, _ in ADDRESSES)
-    rows = spark.sql(f"SELECT * FROM (VALUES {values}) t(url, token)").withColumn("p", address.parts(F.col("url")))
-    return rows.select("url", "token", address.session_path(F.col("p"), F.col("token")).alias("path"), address.refusal(F.col("p"), F.col("token")).alias("refused"))
+    rows = relays(spark, sf_dir)
+    return rows.select("page_id", "url", "token", address.session_path(F.col("p"), F.col("token")).alias("path"), address.refusal(F.col("p"), F.col("token")).alias("refused"))
 
 
-@query("SELECT * FROM (VALUES ('quic://h:1/a?b#c', 'quic://h:1/...?...#...', 'h', 1, 'abcdefghijklm', 'abcd...jklm'), ('h', 'h', 'h', 443, 'short', '5 characters'), ('https://[2001:db8::1]/t', 'https://[2001:db8::1]/...', '2001:db8::1', 443, 'twelve chars', '12 characters')) t(url, shown, host, port, token, short)")
+@query(f"""WITH {RELAYS} SELECT page_id, origin || CASE WHEN path = '' THEN '' ELSE '/...' END || CASE WHEN query = '' THEN '' ELSE '?...' END || CASE WHEN fragment = '' THEN '' ELSE '#...' END AS shown, host, CAST(coalesce(port, 443) AS INTEGER) AS port,
+  CASE WHEN length(url) <= 12 THEN length(url) || ' characters' ELSE url[:4] || '...' || url[-4:] END AS short, CASE WHEN length(token) <= 12 THEN length(token) || ' characters' ELSE token[:4] || '...' || token[-4:] END AS short_token FROM a""")
 def url_parts(spark, sf_dir):
-    rows = spark.sql("SELECT * FROM (VALUES ('quic://h:1/a?b#c', 'abcdefghijklm'), ('h', 'short'), ('https://[2001:db8::1]/t', 'twelve chars')) t(url, token)").withColumn("p", address.parts(F.col("url")))
-    return rows.select("url", address.shown(F.col("p")).alias("shown"), "p.host", "p.port", "token", address.shorten(F.col("token")).alias("short"))
+    rows = relays(spark, sf_dir)
+    return rows.select("page_id", address.shown(F.col("p")).alias("shown"), "p.host", "p.port", address.shorten(F.col("url")).alias("short"), address.shorten(F.col("token")).alias("short_token"))
+
+
+# The log as a source and sink.
+
+
+def relay(spark: SparkSession) -> str:
+    """A relay of a run's own, in the folder that driver and executors share."""
+    return f"{logs.shared_dir(spark)}/relay-{uuid.uuid4().hex}"
+
+
+def log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyframe groups in the log's columns, with the track's frame numbers."""
+    kf = logs.wire_by_keyframe(table(spark, sf_dir, "events"))
+    w = Window.partitionBy("track", "grp")
+    return kf.select(
+        "track", "grp", (F.col("frame_no") - F.min("frame_no").over(w)).alias("frame_in_group"), "pts_us", "keyframe", F.col("payload").cast("binary").alias("payload"),
+        (F.col("frame_no") == F.max("frame_no").over(w)).alias("last"), "frame_no",
+    )
+
+
+def drained(stream: DataFrame, out: str, **trigger) -> DataFrame:
+    """What a stream gives, up to now, of all that is there and was not given to an earlier call; written and read again with what was given then."""
+    q = stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint").trigger(**trigger or {"processingTime": "0 seconds"}).start()
+    try:
+        q.awaitTermination() if trigger else q.processAllAvailable()
+    finally:
+        q.stop()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{out}/rows")
+
+
+@query(", x AS (SELECT 1) SELECT track, count(*) AS frames, count(DISTINCT grp) AS groups, CAST(sum(strlen(payload)) AS BIGINT) AS bytes, min(pts_us) AS since, max(pts_us) AS till, count(*) AS places, CAST(3 AS BIGINT) AS commits FROM kf GROUP BY track")
+def log_stream(spark, sf_dir):
+    """Three commits, the last of which lands before the stream is resumed, read in batches of four files at most."""
+    top = relay(spark)
+    rows = logs.kept(log_rows(spark, sf_dir))
+    deal = lambda n: wirelog.append(rows.where(F.col("grp") % 3 == n).repartition("track"), top, "b")
+    deal(0)
+    deal(1)
+    stream = wirelog.subscribe(spark, top, "b", start="backlog").frames(stream=True, max_files=4, progress=f"{top}/notes")
+    drained(stream, f"{top}/got")
+    deal(2)
+    got = drained(stream, f"{top}/got")
+    return got.groupBy("track").agg(
+        F.count("*").alias("frames"), F.count_distinct("grp").alias("groups"), F.sum(F.octet_length("payload")).cast("long").alias("bytes"), F.min("pts_us").alias("since"), F.max("pts_us").alias("till"),
+        F.count_distinct("landed").alias("places"), F.count_distinct(F.expr(f"shiftright(landed, {wirelog.ROWS_BITS})")).alias("commits"),
+    )
+
+
+@query(""", d AS (SELECT DISTINCT track, seq FROM arr), h AS (SELECT track, count(*) AS holes FROM (SELECT track, lead(seq) OVER (PARTITION BY track ORDER BY seq) - seq AS step FROM d) WHERE step > 1 GROUP BY track),
+f AS (SELECT d.track, CAST(sum(packets) AS BIGINT) AS frames, CAST(sum(bytes) AS BIGINT) AS sent FROM d JOIN gr ON gr.track = d.track AND gr.grp = d.seq GROUP BY d.track)
+SELECT track, count(*) AS received, count(DISTINCT seq) AS delivered, count(*) - count(DISTINCT seq) AS again, coalesce(any_value(holes), 0) AS holes_abandoned_end, min(seq) AS first_grp, max(seq) AS last_grp, any_value(frames) AS frames, any_value(sent) AS sent,
+  true AS whole_groups FROM arr LEFT JOIN h USING (track) JOIN f USING (track) GROUP BY track""")
+def hold_stream(spark, sf_dir):
+    """Displaced and doubled groups as a log, in three commits, each followed by a run of the streaming hold that goes on from the one before; then each track is said to be finished."""
+    top = relay(spark)
+    came = arrivals(spark, sf_dir)
+    parts = came.select("track", F.col("seq").alias("grp"), "arrival").join(log_rows(spark, sf_dir), ["track", "grp"])
+    most = F.max("arrival").over(Window.partitionBy("track"))
+    rows = logs.kept(parts.withColumn("nth", F.expr("arrival * 3") / (most + 1)))
+    tracks = rows.select("track").distinct()
+    wirelog.send_catalog(
+        tracks.select(
+            F.lit("video").alias("kind"), F.col("track").alias("name"), F.lit("avc1.64001f").alias("codec"), F.lit("legacy").alias("packaging"), *[F.lit(None).cast("binary").alias(c) for c in ("config", "init")],
+            F.lit(640).alias("width"), F.lit(360).alias("height"), *[F.lit(None).cast("int").alias(c) for c in ("sample_rate", "channels", "timescale")],
+        ), top, "b",
+    )
+    none = {c: F.lit(None).cast(k) for c, k in (("grp", "long"), ("frame_in_group", "long"), ("decodable", "boolean"), ("payload", "binary"))}
+    finished = tracks.select("track", F.lit(0).cast("long").alias("arrival"), F.lit("finished").alias("event"), *[v.alias(c) for c, v in none.items()])
+    finished.limit(0).write.mode("append").parquet(f"{top}/answers")
+    answers = spark.readStream.schema(finished.schema).parquet(f"{top}/answers")
+    held = wirelog.subscribe(spark, top, "b", start="backlog", hold_ms=10**9, join_ms=10**9, hold_mib=4096).ordered(answers, progress=f"{top}/notes")
+    for n in range(3):
+        wirelog.append(rows.where(F.floor("nth") == n).repartition("track").sortWithinPartitions("track", "arrival", "frame_in_group"), top, "b")
+        drained(held, f"{top}/got", availableNow=True)
+    finished.write.mode("append").parquet(f"{top}/answers")
+    got = drained(held, f"{top}/got", availableNow=True)
+    out = got.where("kind = 'frame'").groupBy("track").agg(F.count("*").alias("frames"), F.sum(F.octet_length("payload")).cast("long").alias("sent"))
+    totals = got.where("kind = 'track' and final").select("track", "received", "delivered", (F.col("repeated") + F.col("dropped_late")).alias("again"), "holes_abandoned_end", "first_grp", "last_grp")
+    back = got.where("kind = 'frame'").groupBy("track", "grp").agg(F.count("*").alias("n")).join(log_rows(spark, sf_dir).groupBy("track", "grp").agg(F.count("*").alias("m")), ["track", "grp"]).groupBy("track").agg(F.bool_and(F.col("n") == F.col("m")).alias("whole_groups"))
+    return totals.join(out, "track").join(back, "track")

@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.streaming.hold import COUNTS, Group, Hold, Shelf
+from tidemark.streaming.hold import COUNTS, MAXIMA, Group, Hold, Shelf, Spans
 
-#: Wire events: frame, end, group (a fetched frame; its end follows), gone, restarted, finished.
+#: Wire events: frame, end, group (a fetched frame; its end follows), gone, restarted, finished. A column session may tell the publisher's session.
 EVENTS = "track string, arrival long, event string, grp long, frame_in_group long, decodable boolean, payload binary"
 ROWS = (
     "track string, kind string, grp long, payload binary, `cursor` long, from_grp long, to_grp long, reason string, held_groups long, held_bytes long, "
-    + ", ".join(f"{c} long" for c in COUNTS) + ", first_grp long, last_grp long, final boolean"
+    + ", ".join(f"{c} long" for c in [*COUNTS, *MAXIMA]) + ", first_grp long, last_grp long, final boolean"
 )
 COLUMNS = [c.strip().split(" ")[0].strip("`") for c in ROWS.split(",")]
 #: A track's totals are told this often.
@@ -28,12 +29,12 @@ def apply(hold: Hold, event: dict) -> None:
     kind, seq = event["event"], event["grp"]
     payload = b"" if event["payload"] is None else bytes(event["payload"])
     decodable = None if pd.isna(event["decodable"]) else bool(event["decodable"])
-    if kind == "frame":
-        hold.frame(int(seq), payload, decodable)
+    if kind in ("frame", "group"):
+        session, nth = event.get("session"), event.get("frame_in_group")
+        hold.arrived(None if pd.isna(session) else int(session), int(seq))
+        hold.frame(int(seq), payload, decodable, None if pd.isna(nth) else int(nth))
     elif kind == "end":
         hold.end(int(seq))
-    elif kind == "group":
-        hold.group(int(seq), [payload], decodable)
     elif kind == "gone":
         hold.refuse(int(seq))
     elif kind == "restarted":
@@ -52,7 +53,7 @@ def told(track: str, hold: Hold, now: float, last: bool) -> list[dict]:
     out += [{"kind": "ask", "grp": a} for a in asks]
     t = hold.track_row(final=True) if last else hold.report(now, REPORT_MS)
     if t:
-        out.append({"kind": "track", **hold.counts, "first_grp": t["first"], "last_grp": t["last"], "final": t["final"]})
+        out.append({"kind": "track", **{c: t[c] for c in [*COUNTS, *MAXIMA]}, "first_grp": t["first"], "last_grp": t["last"], "final": t["final"]})
     return [{"track": track, **r} for r in out]
 
 
@@ -61,7 +62,7 @@ def framed(rows: list[dict]) -> pd.DataFrame:
     return df.where(df.notna(), None)
 
 
-GROUP = "frames array<binary>, got int, over boolean, sync boolean, retaken boolean, skip int"
+GROUP = "frames array<struct<nth: long, payload: binary>>, taken array<long>, sent long, over boolean, sync boolean, retaken boolean, again long"
 
 
 class Ordering(StatefulProcessor):
@@ -81,31 +82,38 @@ class Ordering(StatefulProcessor):
             return Hold(**self.options)
 
         def read(number: int) -> Group:
-            frames, got, over, sync, retaken, skip = self.groups.getValue((number,))
-            return Group([bytes(f) for f in frames], got, over, sync, retaken, skip)
+            frames, taken, *rest = self.groups.getValue((number,))
+            return Group([(n, bytes(f)) for n, f in frames], Spans(taken), *rest)
 
-        return Hold.of(json.loads(kept[0]), Shelf([k[0] for k in self.groups.keys()], read))
+        known = json.loads(kept[0])
+        return Hold.of(known["hold"], Shelf(Spans(known["held"]), read))
 
     def _keep(self, hold: Hold) -> None:
         for number in hold.shelf.touched:
             if number in hold.shelf:
                 g = hold.shelf.loaded[number]
-                self.groups.updateValue((number,), (g.frames, g.got, g.over, g.sync, g.retaken, g.skip))
+                self.groups.updateValue((number,), (g.frames, g.taken.borders, g.sent, g.over, g.sync, g.retaken, g.again))
             elif self.groups.containsKey((number,)):
                 self.groups.removeKey((number,))
-        self.mind.update((json.dumps(hold.scalars()),))
+        held = Spans()
+        for number in hold.shelf:
+            held.add(number)
+        self.mind.update((json.dumps({"hold": hold.scalars(), "held": held.borders}),))
         for timer in list(self.handle.listTimers()):  # another would fire beside, not instead
             self.handle.deleteTimer(timer[0] if isinstance(timer, tuple) else timer)
         if not hold.ended:
             self.handle.registerTimer(int(min(x for x in (hold.due(), (hold.reported or 0) + REPORT_MS) if x is not None)))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        began = time.perf_counter()
         hold, now = self._hold(), float(timerValues.getCurrentProcessingTimeInMs())
+        hold.call(now)
         events = pd.concat(list(rows)).sort_values("arrival", kind="stable")
         out: list[dict] = []
         for event in events.to_dict("records"):
             apply(hold, event)
             out += told(key[0], hold, now, last=event["event"] == "finished")
+        hold.call(now, (time.perf_counter() - began) * 1000)
         self._keep(hold)
         yield framed(out)
 
