@@ -659,7 +659,7 @@ def summary_windows(spark, sf_dir):
 
 #: Relay addresses out of pages' own, with a port for each third page, a token of its own for some, and a token to go with them.
 RELAYS = """u AS (SELECT page_id, split_part(url, '://', 1) AS scheme, split_part(split_part(split_part(split_part(url, '://', 2), '/', 1), '?', 1), '#', 1) AS host,
-    split_part(split_part(split_part(url, '#', 1), '?', 1), '/', 4) || CASE WHEN len(string_split(split_part(split_part(url, '#', 1), '?', 1), '/')) > 4 THEN '/' || split_part(split_part(split_part(url, '#', 1), '?', 1), '/', 5) ELSE '' END AS path,
+    substring(split_part(split_part(url, '#', 1), '?', 1), instr(url, '://') + 4 + length(split_part(split_part(split_part(split_part(url, '://', 2), '/', 1), '?', 1), '#', 1))) AS path,
     split_part(split_part(url, '#', 1), '?', 2) AS q, split_part(url, '#', 2) AS fragment, CASE WHEN page_id % 3 = 0 THEN 1000 + page_id % 60000 END AS port, CASE WHEN page_id % 5 = 0 THEN 't' || page_id % 7 END AS jwt FROM pages),
 v AS (SELECT *, CASE WHEN jwt IS NULL THEN q WHEN q = '' THEN 'jwt=' || jwt ELSE q || '&jwt=' || jwt END AS query, ['', path, 'other', 't3'][page_id % 4 + 1] AS token FROM u),
 r AS (SELECT *, scheme || '://' || host || CASE WHEN port IS NULL THEN '' ELSE ':' || port END AS origin, coalesce(jwt, path) AS own FROM v),
