@@ -96,15 +96,16 @@ def test_changes_between_versions(spark):
 
 
 def test_fingerprints_can_be_subtracted_later(spark):
-    a, b = set(range(10, 60)), set(range(14, 63))
-    df = spark.createDataFrame([([*map(lambda x: x * 10**15, a)], [*map(lambda x: x * 10**15, b)])], "a array<long>, b array<long>")
+    of = lambda numbers: {next(iter(digests(f"piece {n}"))) for n in numbers}
+    a, b = of(range(10, 60)), of(range(14, 63))
+    df = spark.createDataFrame([([*a], [*b])], "a array<long>, b array<long>")
     df = df.select(F.expr(fp.encoded(fp.sketch("a"))).alias("a"), F.expr(fp.encoded(fp.sketch("b"))).alias("b"))
     r = df.select(F.expr(fp.peeled(fp.subtracted(fp.decoded("a"), fp.decoded("b")))).alias("t")).first()["t"]
-    assert r["done"] and {x // 10**15 for x in r["only_a"]} == a - b and {x // 10**15 for x in r["only_b"]} == b - a
+    assert r["done"] and set(r["only_a"]) == a - b and set(r["only_b"]) == b - a
 
 
 def test_a_sketch_that_holds_too_much_says_so(spark):
-    df = spark.createDataFrame([([x * 7**20 for x in range(200)], [])], "a array<long>, b array<long>")
+    df = spark.createDataFrame([([next(iter(digests(f"piece {n}"))) for n in range(200)], [])], "a array<long>, b array<long>")
     assert not df.select(F.expr(fp.peeled(fp.subtracted(fp.sketch("a"), fp.sketch("b")))).alias("t")).first()["t"]["done"]
     for deepest in (0, 1, 5):  # also where the digests are told one by one in the end
         before, fp.DEEPEST = fp.DEEPEST, deepest
