@@ -257,3 +257,27 @@ def test_odd_track_names(spark, relay):
     sub = wirelog.subscribe(spark, relay, "b")
     assert {r["track"] for r in sub.frames().collect()} == {name} and {r["track"] for r in wirelog.committed(spark, sub.location).collect()} == {name}
     assert sub.frames([name]).count() == 2
+
+
+def test_a_ladder_is_joined_at_one_media_time(spark, relay, tmp_path):
+    """Tracks that have come differently far begin with groups of one time, also when the run is resumed further on."""
+    video = spark.createDataFrame([(TRACK[0], t, *TRACK[2:]) for t in "vw"], SCHEMA)
+    wirelog.send_catalog(video, relay, "b")
+    for g in range(6):
+        wirelog.append(rows(spark, [g]), relay, "b")
+    wirelog.append(rows(spark, range(4), "w"), relay, "b")
+    sub = wirelog.subscribe(spark, relay, "b", join_ms=0)
+    assert sub.edge() == {"v": 3, "w": 3}
+
+    def run():
+        out = []
+        q = sub.ordered(progress=f"file://{tmp_path}/run", shared_edge=True).writeStream.foreachBatch(lambda df, n: out.extend(df.collect())).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        try:
+            assert q.awaitTermination(60)
+        finally:
+            q.stop()
+        return {t: sorted({r["grp"] for r in out if r["kind"] == "frame" and r["track"] == t}) for t in "vw"}
+
+    assert run() == {"v": [3, 4, 5], "w": [3]}
+    wirelog.append(rows(spark, [4, 5, 6], "w").unionByName(rows(spark, [6])), relay, "b")
+    assert run() == {"v": [6], "w": [4, 5, 6]}

@@ -118,3 +118,21 @@ def fetch_lookup(asks: DataFrame, kept: DataFrame) -> DataFrame:
     """Asks (track, seq) for groups outside the subscription: the retained group, or gone."""
     found = kept.select("track", F.col("grp").alias("seq"), "packets")
     return asks.join(found, ["track", "seq"], "left").select("track", "seq", "packets", F.when(F.col("packets").isNull(), "gone").otherwise("group").alias("answer"))
+
+
+def shared_edge(starts: DataFrame) -> DataFrame:
+    """track, grp, since, edge, spread: where a ladder's tracks are joined, so that all begin at one media time.
+
+    starts (track, grp, pts_us) has the first frame's time of every group that is there, as of one moment for all tracks.
+    The edge is the earliest start of the tracks' newest groups: every track has come that far. Each begins with its last
+    group that starts no later, or with its first where it has none; spread is how far apart these begin.
+    """
+    newest = starts.groupBy("track").agg(F.max_by("pts_us", "grp").alias("top"))
+    every = Window.partitionBy(F.lit(0))  # a row for each track of a broadcast
+    edge = newest.select("track", F.min("top").over(every).alias("edge"))
+    met = starts.join(edge, "track").withColumn("__by", F.col("pts_us") <= F.col("edge"))
+    per = met.groupBy("track", "edge").agg(
+        F.coalesce(F.max(F.when(F.col("__by"), F.col("grp"))), F.min("grp")).alias("grp"),
+        F.coalesce(F.max_by(F.when(F.col("__by"), F.col("pts_us")), F.when(F.col("__by"), F.col("grp"))), F.min_by("pts_us", "grp")).alias("since"),
+    )
+    return per.select("track", "grp", "since", "edge", (F.max("since").over(every) - F.min("since").over(every)).alias("spread"))

@@ -738,6 +738,15 @@ def log_stream(spark, sf_dir):
     )
 
 
+@query(""", g AS (SELECT track, grp, min(pts_us) AS s FROM kf WHERE grp % 3 <> 1 OR track <> 'view' GROUP BY ALL), n AS (SELECT min(start) AS edge FROM (SELECT track, arg_max(s, grp) AS start FROM g GROUP BY track)),
+j AS (SELECT track, edge, coalesce(max(grp) FILTER (s <= edge), min(grp)) AS grp FROM g, n GROUP BY ALL), k AS (SELECT j.track, j.grp, s AS since, edge FROM j JOIN g ON g.track = j.track AND g.grp = j.grp)
+SELECT *, max(since) OVER () - min(since) OVER () AS spread FROM k""")
+def shared_edge(spark, sf_dir):
+    """Tracks that have come differently far are joined at one media time."""
+    cut = logs.wire_by_keyframe(table(spark, sf_dir, "events")).where("grp % 3 <> 1 or track <> 'view'")
+    return hold.shared_edge(cut.groupBy("track", "grp").agg(F.min("pts_us").alias("pts_us")))
+
+
 @query(""", d AS (SELECT DISTINCT track, seq FROM arr), h AS (SELECT track, count(*) AS holes FROM (SELECT track, lead(seq) OVER (PARTITION BY track ORDER BY seq) - seq AS step FROM d) WHERE step > 1 GROUP BY track),
 f AS (SELECT d.track, CAST(sum(packets) AS BIGINT) AS frames, CAST(sum(bytes) AS BIGINT) AS sent FROM d JOIN gr ON gr.track = d.track AND gr.grp = d.seq GROUP BY d.track)
 SELECT track, count(*) AS received, count(DISTINCT seq) AS delivered, count(*) - count(DISTINCT seq) AS again, coalesce(any_value(holes), 0) AS holes_abandoned_end, min(seq) AS first_grp, max(seq) AS last_grp, any_value(frames) AS frames, any_value(sent) AS sent,

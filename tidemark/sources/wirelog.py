@@ -53,10 +53,10 @@ OPEN = 64
 
 
 class Part(InputPartition):
-    """A file of the log; pts: the media time to give, from and up to."""
+    """A file of the log; pts: the media time to give, from and up to; low: the first group to give."""
 
-    def __init__(self, file: File, pts: tuple[int, int] | None = None):
-        self.file, self.track, self.pts = asdict(file), file.track, pts
+    def __init__(self, file: File, pts: tuple[int, int] | None = None, low: int | None = None):
+        self.file, self.track, self.pts, self.low = asdict(file), file.track, pts, low
 
 
 def batches(location: str, part: Part) -> Iterator[pa.RecordBatch]:
@@ -70,6 +70,8 @@ def batches(location: str, part: Part) -> Iterator[pa.RecordBatch]:
             out = pa.RecordBatch.from_arrays(columns, names=[*FIELDS, "landed", "session"])
             if part.pts:
                 out = out.filter(pc.and_(pc.greater_equal(b.column("pts_us"), part.pts[0]), pc.less(b.column("pts_us"), part.pts[1])))
+            if part.low is not None:
+                out = out.filter(pc.greater_equal(b.column("grp"), part.low))
             yield out
             at += n
 
@@ -128,11 +130,13 @@ class LogStreamReader(DataSourceStreamReader):
 
     An offset is the next file to read: the number of its commit and its place in it. Only file names and
     statistics pass the driver: each file is a partition, and a task reads it. tracks: others' files are never planned.
+    edge: the first group of each track that is given; a stream begins at the first commit that has one of them.
     A batch has so many files and bytes at most (a file at least), where that is told; then the reader notes in progress where it is, as
     Spark asks it for a batch's end without saying where it begins. An availableNow trigger asks once for the end, so it takes no bound.
     """
 
-    def __init__(self, location: str, start: str, tracks: list[str] | None = None, max_files: int | None = None, max_bytes: int | None = None, progress: str | None = None):
+    def __init__(self, location: str, start: str, tracks: list[str] | None = None, max_files: int | None = None, max_bytes: int | None = None, progress: str | None = None, edge: dict[str, int] | None = None):
+        self.edge = edge or {}
         self.location, self.live, self.tracks, self.max_files, self.max_bytes = location, start == "live", tracks, max_files, max_bytes
         self.progress, self.reached, self.first = Progress(progress), None, None
 
@@ -143,7 +147,9 @@ class LogStreamReader(DataSourceStreamReader):
         if self.first is None:
             log = CommitLog(self.location)
             last = log.last()
-            self.first = {"commit": last + 1 if self.live else max(1, log.read(last).began) if last else 1, "file": 0}
+            if self.edge:
+                last = min((f.number for f in log.files(last) if f.track in self.edge and self._mine(f)), default=last + 1) - 1
+            self.first = {"commit": last + 1 if self.edge or self.live else max(1, log.read(last).began) if last else 1, "file": 0}
         return self.first
 
     def latestOffset(self):
@@ -167,7 +173,7 @@ class LogStreamReader(DataSourceStreamReader):
         return self.reached
 
     def _mine(self, file: File) -> bool:
-        return self.tracks is None or file.track in self.tracks
+        return (self.tracks is None or file.track in self.tracks) and file.high >= self.edge.get(file.track, file.high)
 
     def between(self, start: dict, end: dict) -> list[File]:
         log, low, high = CommitLog(self.location), (start["commit"], start["file"]), (end["commit"], end["file"])
@@ -176,7 +182,7 @@ class LogStreamReader(DataSourceStreamReader):
 
     def partitions(self, start, end):
         self.reached = end
-        return [Part(f) for f in self.between(start, end)]
+        return [Part(f, low=self.edge.get(f.track)) for f in self.between(start, end)]
 
     def read(self, partition):
         yield from batches(self.location, partition)
@@ -370,7 +376,7 @@ class WireSource(DataSource):
         if get("paced", "false") == "true":
             return PacedReader(self.options["path"], float(get("speed", "1")), float(get("max_s")) if get("max_s") else None, tracks, get("progress"))
         files, mib = (int(get(k)) if get(k) else None for k in ("max_files", "max_mib"))
-        return LogStreamReader(self.options["path"], get("start", "live"), tracks, files, mib and mib << 20, get("progress"))
+        return LogStreamReader(self.options["path"], get("start", "live"), tracks, files, mib and mib << 20, get("progress"), json.loads(get("edge")) if get("edge") else None)
 
     def writer(self, schema, overwrite):
         return LogWriter(self.options["path"], overwrite, self.options.get("session", "false") == "true")
@@ -619,14 +625,26 @@ class Subscription:
         if apart:
             raise ValueError("; ".join(f"track {r['name']!r} is not what it was: {r['reason']}" for r in apart))
 
-    def ordered(self, answers: DataFrame | None = None, progress: str | None = None, tracks: list[str] | None = None, **options) -> DataFrame:
+    def edge(self, tracks: list[str] | None = None) -> dict[str, int]:
+        """The group with which each track is joined, as of the last commit, so that all begin at one media time."""
+        there = committed(self.spark, self.location).where(F.col("track") != CATALOG if tracks is None else F.col("track").isin(*tracks))
+        starts = there.groupBy("track", "grp").agg(F.min("pts_us").alias("pts_us"))
+        return {r["track"]: r["grp"] for r in hold.shared_edge(starts).collect()}  # a row for each track
+
+    def ordered(self, answers: DataFrame | None = None, progress: str | None = None, tracks: list[str] | None = None, shared_edge: bool = False, **options) -> DataFrame:
         """The broadcast's tracks in sequence with report rows, as a stream: held as start, hold_ms, hold_mib and join_ms say.
 
         answers: a stream of further wire events, such as `answered` makes of the rows of kind ask, and each track's
         restarted and finished. Without a finished event a track's last hole stays open until the budget is spent.
         progress: where a run notes its catalog, which it must find unchanged when it is resumed, and where a bounded reader is. A
         publisher that comes back opens a session: groups in flight may come again, and one that counts from anew fails the run.
+        shared_edge: the tracks are joined at one media time; which groups that are is noted in progress, and holds when the run is resumed.
         """
+        if shared_edge:
+            note = Progress(f"{progress}/edge")
+            if note.get() is None:
+                note.put(self.edge(tracks))
+            options = {"edge": json.dumps(note.get()), **options}
         if progress is not None:
             self.unchanged(progress)
             options = {"progress": progress, **options}
