@@ -752,12 +752,12 @@ f AS (SELECT d.track, CAST(sum(packets) AS BIGINT) AS frames, CAST(sum(bytes) AS
 SELECT track, count(*) AS received, count(DISTINCT seq) AS delivered, count(*) - count(DISTINCT seq) AS again, coalesce(any_value(holes), 0) AS holes_abandoned_end, min(seq) AS first_grp, max(seq) AS last_grp, any_value(frames) AS frames, any_value(sent) AS sent,
   true AS whole_groups FROM arr LEFT JOIN h USING (track) JOIN f USING (track) GROUP BY track""")
 def hold_stream(spark, sf_dir):
-    """Displaced and doubled groups as a log, in three commits, each followed by a run of the streaming hold that goes on from the one before; then each track is said to be finished."""
+    """Displaced and doubled groups as a log, in two commits, each followed by a run of the streaming hold that goes on from the one before; then each track is said to be finished."""
     top = relay(spark)
     came = arrivals(spark, sf_dir)
     parts = came.select("track", F.col("seq").alias("grp"), "arrival").join(log_rows(spark, sf_dir), ["track", "grp"])
     most = F.max("arrival").over(Window.partitionBy("track"))
-    rows = logs.kept(parts.withColumn("nth", F.expr("arrival * 3") / (most + 1)))
+    rows = logs.kept(parts.withColumn("nth", F.expr("arrival * 2") / (most + 1)))
     tracks = rows.select("track").distinct()
     wirelog.send_catalog(
         tracks.select(
@@ -770,7 +770,7 @@ def hold_stream(spark, sf_dir):
     finished.limit(0).write.mode("append").parquet(f"{top}/answers")
     answers = spark.readStream.schema(finished.schema).parquet(f"{top}/answers")
     held = wirelog.subscribe(spark, top, "b", start="backlog", hold_ms=10**9, join_ms=10**9, hold_mib=4096).ordered(answers, progress=f"{top}/notes")
-    for n in range(3):
+    for n in range(2):
         wirelog.append(rows.where(F.floor("nth") == n).repartition("track").sortWithinPartitions("track", "arrival", "frame_in_group"), top, "b")
         drained(held, f"{top}/got", availableNow=True)
     finished.write.mode("append").parquet(f"{top}/answers")
