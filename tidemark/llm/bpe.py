@@ -16,7 +16,8 @@ again moves over from the last one.
 Defined results: a null or blank text has no tokens and decodes to the empty
 text; bytes that are no UTF-8 count as U+FFFD; strings of special tokens are
 those tokens, as the tokenizers library has it; repeated rows each give a row;
-further columns are ignored (`report`) or kept (`encode`, `decode`).
+further columns are ignored (`report`) or kept (`encode`, `decode`); a text of any length is
+encoded whole, as one row of a task; an empty table gives no rows.
 """
 
 from __future__ import annotations

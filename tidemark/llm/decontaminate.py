@@ -10,6 +10,7 @@ Defined results
 * a benchmark row whose text or item_id is null takes no part;
 * repeated benchmark rows and items with equal windows are all named, each item_id once;
 * repeated document rows give one result each; an empty benchmark hits nothing;
+* a text of any length is scanned whole, as one row of a task; an empty table gives no rows;
 * further columns, whatever their names, are ignored by `scan` and kept by `clean`.
 
 Only n-grams whose size has been checked are broadcast: items are cut into

@@ -19,6 +19,7 @@ Defined results
   text where nothing could be learned;
 * rows with null lang are predicted but not learned from; a null doc_id counts
   as the empty text in the fold; repeated rows each give a row;
+* a text of any length is labelled whole, piece by piece; an empty table gives no rows;
 * of equal shares the language that sorts first wins; further columns are ignored.
 """
 

@@ -18,7 +18,8 @@ Defined results
 * one row for each document row and family found in it, with the number of its
   paragraphs, the first one's place and the best probability and overlap;
   `families` gives one row for each document row;
-* a null or empty text has no paragraphs and so no licences;
+* a null or empty text has no paragraphs and so no licences; an empty table gives no rows;
+* a text of any length is judged whole, line by line;
 * repeated rows each give theirs; further columns are ignored by `report`, kept by `families`.
 """
 

@@ -31,7 +31,7 @@ Defined results: a null text is empty (one token, its end); a null doc_id counts
 as the empty text in the fold; repeated rows each give a row and count each in
 training (for each other they are other texts); without training texts every
 probability is even; a text of any length is worked through in one task, its
-symbols in memory; further columns are ignored.
+symbols in memory; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations

@@ -15,7 +15,7 @@ scoring stays in the JVM. Nothing here is a Python UDF.
 Defined results
 * one row for each occurrence of a candidate, numbered in its text; equal
   candidates may score differently, as what stands beside them differs;
-* a null or empty text has no findings; neither has an empty table;
+* a null or empty text has no findings; neither has an empty table; a text of any length is searched whole;
 * repeated document rows each give their findings; further columns are ignored
   by `findings` and kept by `redacted`;
 * without labelled findings (an empty table) every candidate counts as a secret.

@@ -22,6 +22,7 @@ or twice, leaves one whole file.
 Defined results
 * a null or empty text is its end token alone;
 * repeated rows each have their tokens; a null doc_id stays null in doc_ids;
+* a text of any length is encoded whole, as one row of a task;
 * an empty table gives no shard; further columns are ignored.
 """
 

@@ -20,6 +20,7 @@ Defined results
 * fewer than `width` words make one shingle of the whole sequence;
 * repeated rows (also equal doc_ids) each give a row; component_id is the
   smallest non-null doc_id of the component, null if it has none;
+* a text of any length is hashed whole, as one row of a task;
 * an empty table gives no rows; further columns are ignored.
 """
 

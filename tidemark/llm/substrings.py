@@ -21,7 +21,8 @@ Defined results
 * rows equal in doc_id and text are one document, and each gets its result; other
   texts under the same doc_id, or under none, are documents of their own;
 * a null doc_id sorts last; of equal doc_ids the hash of the text says which is first;
-* a null or empty text has no chunks: 0 bytes, not repeated;
+* a null or empty text has no chunks: 0 bytes, not repeated; an empty table gives no rows;
+* a text of any length is cut whole, its chunks in a task's memory;
 * `repeated` needs another document; copies within one document are removed too,
   but alone don't set it; further columns are ignored by `report`, kept by `deduplicated`.
 """
