@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import address, codec
-from tidemark.operators import catalog, hold, logs, pacing, relation, reports, timelines
+from tidemark.operators import catalog, hold, logs, matching, pacing, relation, reports, timelines
 from tidemark.plans.registry import ORACLES, QUERIES
 from tidemark.sources import wirelog
 
@@ -618,6 +618,21 @@ def message_match(spark, sf_dir):
     return timelines.matched_in_order(expected, received, "conv_id").select("conv_id", "place", "arrival", "in_order")
 
 
+@query("WITH RECURSIVE " + COMMON + """, e AS (SELECT track, frame_no AS place, event_id * 31 % 97 % 23 AS body FROM wire),
+r AS (SELECT track, event_id * 31 % 97 % 23 AS body, row_number() OVER (PARTITION BY track ORDER BY frame_no + frame_no * 5 % 8, frame_no) - 1 AS arrival FROM wire WHERE event_id % 7 <> 3),
+g AS (SELECT DISTINCT track, CAST(-1 AS BIGINT) AS arrival, CAST(0 AS BIGINT) AS upto, CAST(NULL AS BIGINT) AS body, CAST(NULL AS BIGINT) AS place FROM r
+  UNION ALL SELECT track, arrival, coalesce(m + 1, upto), body, m FROM (
+    SELECT g.track, r.arrival, any_value(g.upto) AS upto, any_value(r.body) AS body, min(e.place) AS m FROM g JOIN r ON r.track = g.track AND r.arrival = g.arrival + 1
+      LEFT JOIN e ON e.track = g.track AND e.body = r.body AND e.place >= g.upto GROUP BY g.track, r.arrival))
+SELECT track, arrival, body, place FROM g WHERE arrival >= 0""")
+def repeated_match(spark, sf_dir):
+    """Bodies that repeat, received displaced and with losses, along whole tracks dealt over chunks."""
+    rows = wire(spark, sf_dir).select("track", F.col("frame_no").alias("place"), (F.col("event_id") * 31 % 97 % 23).alias("body"), "event_id")
+    w = Window.partitionBy("track").orderBy(F.col("place") + F.col("place") * 5 % 8, "place")
+    received = rows.where("event_id % 7 <> 3").select("track", "body", (F.row_number().over(w) - 1).cast("long").alias("arrival"))
+    return matching.matched(rows.select("track", "place", "body"), received, "track", chunk=256)
+
+
 LATE = ", t AS (SELECT track, frame_no, pts_us, (event_id * 37) % 1000 AS late FROM wire)"
 
 
