@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from tidemark.operators import matching
+from tidemark.operators import logs, matching
 
 
 def greedy(expected, received):
@@ -53,3 +53,23 @@ def test_against_the_definition(spark):
     assert {(x["key"], x["arrival"]): x["place"] for x in rows} == want and len(rows) == len(r)
     lost = {(x["key"], x["place"]) for x in matching.missing(E, got, "key").collect()}
     assert lost == {(k, i) for k, i, _ in e} - {(k, p) for (k, _), p in want.items() if p is not None}
+
+
+def test_elapsed_cuts_over_chunks(spark):
+    """Tracks dealt over many chunks are cut as if walked frame by frame, also where times go back or stand."""
+    rng, rows, want = random.Random(3), [], {}
+    for track, n, step in (("steady", 400, lambda: 21), ("uneven", 400, lambda: rng.choice([0, 1, 5, 300])), ("back", 400, lambda: rng.randint(-80, 100)), ("still", 40, lambda: 0), (None, 30, lambda: 70), ("one", 1, lambda: 0)):
+        pts = start = rng.randint(-1000, 1000)
+        group = 0
+        for i in range(n):
+            if pts - start >= 200:
+                start, group = pts, group + 1
+            rows.append((track, i, pts, b"x"))
+            want[track, i] = group
+            pts += step()
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "track string, frame_no long, pts_us long, payload binary")
+    for chunk in (7, 64, 1 << 16):
+        got = logs.cut_elapsed(df, 200, chunk).collect()
+        assert {(r["track"], r["frame_no"]): r["grp"] for r in got} == want and len(got) == len(rows)
+    assert logs.cut_elapsed(df.limit(0), 200).count() == 0

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Values of the order column that one chunk spans.
 CHUNK = 1 << 20
+#: Frames of a track that are cut by elapsed time in one task.
+ELAPSED_CHUNK = 1 << 16
 
 
 def running(df: DataFrame, key: str, order: str, chunk: int = CHUNK, before: bool | set[str] = False, **out: tuple[str, Column]) -> DataFrame:
@@ -115,29 +117,75 @@ def interval_ticks(ms: int, num: int, den: int) -> int:
     return max(1, ms * max(1, den) // (max(1, num) * 1000))
 
 
-def cut_elapsed(frames: DataFrame, ticks: int) -> DataFrame:
+def openings(records: np.ndarray, ticks: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each record as an opening: the next one, the last one of its chain, and the chain's length. Records ascend; len(records) stands for none."""
+    n = len(records)
+    following = np.searchsorted(records, records + ticks)
+    last, count = np.arange(n + 1), np.append(np.ones(n, dtype=np.int64), 0)
+    step = np.append(following, n)
+    while (step < n).any():  # each round doubles how far is looked ahead
+        far = step < n
+        last[far], count[far] = last[step[far]], count[far] + count[step[far]]
+        step = step[step]
+    return following, last[:n], count[:n]
+
+
+def cut_elapsed(frames: DataFrame, ticks: int, chunk: int = ELAPSED_CHUNK) -> DataFrame:
     """frames with grp: a group opens once ticks have passed since the open group's first frame.
 
-    Each opening re-bases the next, so this is no tumbling window: a track is
-    walked in order. A track's frames are sorted on disk if need be and stream
-    through one task, which holds a batch and two numbers.
+    Each opening re-bases the next, so this is no tumbling window. But within a chunk of a track, what follows an opening is told by the chunk alone,
+    and only frames later than all before them in the chunk can open. So each chunk is a function from the open group's start to that at its end;
+    a walk with a row for each chunk tells where chunks begin, and chunks are numbered apart. A track of any length is dealt over as many tasks.
     """
+    at = F.floor(F.col("frame_no") / chunk)
+    kinds = dict(frames.dtypes)
     schema = frames.schema.simpleString()[len("struct<") : -1].replace(":", " ")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        track, start, group = object(), 0, 0
+    def ordered(rows: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+        """Rows in order, their times, and which are records."""
+        rows = rows.sort_by("frame_no")
+        pts = rows.column("pts_us").to_numpy().astype(np.int64)
+        top = np.maximum.accumulate(pts)
+        return rows, pts, np.flatnonzero(np.append(True, top[1:] > top[:-1]))
+
+    def function(rows: pa.Table) -> pa.Table:
+        rows, pts, records = ordered(rows)
+        tops = pts[records]
+        _, last, count = openings(tops, ticks)
+        one = lambda v: pa.array([v.tolist()], pa.list_(pa.int64()))
+        return pa.table({"track": rows.column("track").slice(0, 1), "chunk": rows.column("__chunk").slice(0, 1), "first": pa.array([int(pts[0])]), "tops": one(tops), "ends": one(tops[last]), "counts": one(count)})
+
+    def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, start, group = object(), 0, 0
         for batch in batches:
-            tracks = batch.column(batch.schema.names.index("track")).to_pylist()
-            out = np.empty(len(tracks), dtype=np.int64)
-            for i, (t, pts) in enumerate(zip(tracks, batch.column(batch.schema.names.index("pts_us")).to_pylist(), strict=True)):
-                if t != track:
-                    track, start, group = t, pts, 0
-                elif pts - start >= ticks:
-                    start, group = pts, group + 1
-                out[i] = group
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*batch.schema.names, "grp"])
-
-    return frames.repartition("track").sortWithinPartitions("track", "frame_no").mapInArrow(run, f"{schema}, grp long")
+            starts, groups = [], []
+            for track, first, tops, ends, counts in zip(*(batch.column(c) for c in ("track", "first", "tops", "ends", "counts")), strict=True):
+                if track.as_py() != now:
+                    now, start, group = track.as_py(), first.as_py(), 0
+                starts.append(start)
+                groups.append(group)
+                nth = int(np.searchsorted(tops.values.to_numpy(), start + ticks))
+                if nth < len(tops):
+                    start, group = ends[nth].as_py(), group + counts[nth].as_py()
+            yield pa.RecordBatch.from_arrays([batch.column("track"), batch.column("chunk"), pa.array(starts, pa.int64()), pa.array(groups, pa.int64())], names=["track", "chunk", "start", "group"])
+
+    def numbered(rows: pa.Table) -> pa.Table:
+        rows, pts, records = ordered(rows)
+        tops = pts[records]
+        following, _, _ = openings(tops, ticks)
+        opens, nth = np.zeros(len(pts), dtype=np.int64), int(np.searchsorted(tops, rows.column("__start")[0].as_py() + ticks))
+        while nth < len(tops):
+            opens[records[nth]] = 1
+            nth = following[nth]
+        grp = np.cumsum(opens) + rows.column("__group")[0].as_py()
+        return rows.drop_columns(["__chunk", "__start", "__group"]).append_column("grp", pa.array(grp, pa.int64()))
+
+    times = frames.select("track", at.alias("__chunk"), "frame_no", "pts_us")
+    functions = times.groupBy("track", "__chunk").applyInArrow(function, f"track {kinds['track']}, chunk long, first long, tops array<long>, ends array<long>, counts array<long>")
+    starts = functions.repartition("track").sortWithinPartitions("track", "chunk").mapInArrow(walked, f"track {kinds['track']}, chunk long, start long, group long")
+    starts = starts.select(F.col("track").alias("__track"), F.col("chunk").alias("__c"), F.col("start").alias("__start"), F.col("group").alias("__group"))
+    begun = frames.withColumn("__chunk", at).join(starts, F.col("track").eqNullSafe(F.col("__track")) & (F.col("__chunk") == F.col("__c"))).drop("__track", "__c")
+    return begun.groupBy("track", "__chunk").applyInArrow(numbered, f"{schema}, grp long")
 
 
 def group_rows(frames: DataFrame) -> DataFrame:
