@@ -18,7 +18,7 @@ SPAN = 1 << 37
 def asof(left: DataFrame, right: DataFrame, key: str, time: str, values: list[str], forward: bool = True) -> DataFrame:
     """left with right_<c> of the right row of the same key that is next in time (or last, backward); equal times meet.
 
-    Of right rows at one time the least values are taken.
+    Times are whole numbers. Of right rows at one time the least values are taken. What is carried crosses chunks of time, so a key is dealt over tasks.
     """
     names = left.columns
     own = F.struct(*[F.col(c) for c in names])
@@ -28,9 +28,8 @@ def asof(left: DataFrame, right: DataFrame, key: str, time: str, values: list[st
     b = once.select(F.col(key).alias("__k"), F.col(time).alias("__t"), F.lit(1).alias("__s"), held.alias("__r"))
     both = a.unionByName(b, allowMissingColumns=True)
     # Walking back in time, a right row stands before the left ones at its time, walking on likewise.
-    order = [F.desc("__t"), F.desc("__s")] if forward else [F.asc("__t"), F.desc("__s")]
-    w = Window.partitionBy("__k").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    met = both.withColumn("__m", F.last("__r", ignorenulls=True).over(w)).where("__s = 0")
+    order = -(2 * F.col("__t") + F.col("__s")) if forward else 2 * F.col("__t") + 1 - F.col("__s")
+    met = running(both.withColumn("__o", order.cast("long")), "__k", "__o", 2 * SPAN, __m=("last", F.col("__r"))).where("__s = 0")
     return met.select("__l.*", *[F.col(f"__m.{c}").alias(f"right_{c}") for c in dict.fromkeys([time, *values])])
 
 
@@ -63,8 +62,13 @@ def matched_in_order(expected: DataFrame, received: DataFrame, key: str) -> Data
 
 def above_floor(rows: DataFrame, key: str, time: str, late: str, reach: int) -> DataFrame:
     """rows with the lateness over the least within reach on either side in time."""
-    w = Window.partitionBy(key).orderBy(time).rangeBetween(-reach, reach)
-    return rows.withColumn("above", F.col(late) - F.min(late).over(w))
+    # A row is in its own chunk of time, and a guest in those that it is within reach of: a key of any length is many windows.
+    span = max(4 * reach, 1)
+    chunk = lambda c: F.floor(c / span).cast("long")
+    at = F.col(time)
+    each = rows.withColumn("__own", chunk(at)).withColumn("__chunk", F.explode(F.array_distinct(F.array(chunk(at), chunk(at - reach), chunk(at + reach)))))
+    w = Window.partitionBy(key, "__chunk").orderBy(time).rangeBetween(-reach, reach)
+    return each.withColumn("above", F.col(late) - F.min(late).over(w)).where("__own <=> __chunk").drop("__own", "__chunk")
 
 
 def batches(rows: DataFrame, key: str, time: str, gap: int) -> DataFrame:
