@@ -155,3 +155,40 @@ def test_periodic_texts_go_whole(spark):
         got = {r["doc_id"]: r for r in substrings.report(df).collect()}
         assert got[2]["repeated_bytes"] == got[2]["removed_bytes"] == len(text) and got[1]["removed_bytes"] == 0 and not got[3]["repeated"]
         assert {r["doc_id"]: r["text"] for r in substrings.deduplicated(df).collect()} == {1: text, 2: "", 3: "other words here"}
+
+
+def test_passages_under_the_bound_stay(spark):
+    """Of documents that share passages of 30, 40, 49, 50 and 60 words under a bound of 50, only the last two."""
+    rng = random.Random(9)
+    rows, want = [], set()
+    for words in (30, 40, 49, 50, 60):
+        for k in range(30):
+            p = prose(rng, words)
+            for copy in range(2):
+                i = len(rows)
+                # The passage's first and last words are not prolonged by what stands beside them.
+                rows.append((i, prose(rng, rng.randint(5, 90)) + f" {i} " + p + f" {i} " + prose(rng, rng.randint(5, 90))))
+                if words >= 50:
+                    want.add(i)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in substrings.report(df).collect()}
+    assert {i for i, r in got.items() if r["repeated"]} == want
+    assert all((r["n_passages"] > 0) == (i in want) for i, r in got.items())
+    clean = {r["doc_id"]: r["text"] for r in substrings.deduplicated(df).collect()}
+    assert all(clean[i] == t for i, t in rows if i not in want or i % 2 == 0)
+    assert all(len(clean[i]) < len(t) for i, t in rows if i in want and i % 2)
+
+
+def test_passage_that_meets_longer_ones(spark):
+    """A passage is found in the midst of a longer one, and where its first document holds less of it."""
+    rng = random.Random(10)
+    rows, want = [], set()
+    for k in range(20):
+        p = prose(rng, 300).split()
+        part = p[100:152]
+        mixed = lambda x: prose(rng, rng.randint(20, 60)) + " " + " ".join(x) + " " + prose(rng, rng.randint(20, 60))  # noqa: E731, B023
+        i = 10 * k
+        rows += [(i, mixed(part[5:30])), (i + 1, mixed(p)), (i + 2, mixed(p)), (i + 3, mixed(part)), (i + 4, mixed(part[:20] + part[21:]))]
+        want |= {i + 1, i + 2, i + 3}
+    got = {r["doc_id"] for r in substrings.report(spark.createDataFrame(rows, "doc_id long, text string")).where("repeated").collect()}
+    assert got == want

@@ -4,10 +4,13 @@ A gear rolling hash over the text's bytes sets the cuts: a cut depends on the
 WINDOW bytes before it and on nothing else, so an insertion moves later chunks
 but changes only the one or two it touches. Chunks get a 96-bit digest; a
 digest found at more than one place is repeated. Repeated chunks that follow
-each other form a run. A run counts as a repeated passage if it has at least
-`min_bytes` and if, with the two chunks beside it (the passage may end inside
-them), it spans at least `min_words` words. Of a repeated passage's chunks the
-first occurrence, in the order of doc_id, stays; the others are removed.
+each other form a run. A run of at least `min_bytes` and `min_words` words is a
+repeated passage. A shorter one may end inside the chunks beside it: where those
+would make up the words, the texts decide. Every place of a chunk that such a
+passage must hold gives its windows of `min_words` words around it, and the run
+is a passage if one of its windows is found at another place. Of a repeated
+passage's chunks the first occurrence, in the order of doc_id, stays; the others
+are removed.
 
 Chunks under SHORT bytes say nothing by themselves: they are part of the next longer
 chunk, and of its digest; those at the text's end are looked up as one. So each byte
@@ -15,7 +18,9 @@ of a text is in one chunk that is looked up, and goes or stays with it.
 
 A digest's first and last document combine on the map side, and the join that
 brings them back is on plain keys, so AQE splits a digest that many documents
-hold. Runs are formed in one pass over sorted rows, not group by group.
+hold. Runs are formed in one pass over sorted rows, not group by group. Windows
+are counted on the map side before they meet; a place gives at most min_words
+and a few of them.
 
 Defined results
 * rows equal in doc_id and text are one document, and each gets its result; other
@@ -23,6 +28,7 @@ Defined results
 * a null doc_id sorts last; of equal doc_ids the hash of the text says which is first;
 * a null or empty text has no chunks: 0 bytes, not repeated; an empty table gives no rows;
 * a text of any length is cut whole, its chunks in a task's memory;
+* equal rows of one task are cut once;
 * `repeated` needs another document; copies within one document are removed too,
   but alone don't set it; further columns are ignored by `report`, kept by `deduplicated`.
 """
@@ -38,11 +44,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import project
+from tidemark.llm.common import discard, project, written
 from tidemark.llm.decontaminate import slices
 
 #: Bytes that a cut depends on, a chunk's mean size, and the least size that is looked up by itself.
 WINDOW, MEAN, SHORT = 24, 24, 8
+#: Words by which a chunk's place in a run may be off, as words may begin before it.
+SLACK = 2
 #: What is told of a chunk beside its place, in one number: words in it with the short ones before it,
 #: words beside to the left and right; each counted up to a bound.
 BITS = {"span": (30, 28), "before": (15, 15), "after": (0, 15)}
@@ -160,7 +168,12 @@ def _chunks(docs: DataFrame, places: bool) -> DataFrame:
     src = project(docs, ["doc_id", "text"]).where("text <> ''").select(key().alias("key"), identity().alias("uid"), F.col("text").cast("binary").alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
         for batch in batches:
+            uids = batch.column(1).to_pylist()
+            new = [i for i, u in enumerate(uids) if not (u in met or met.add(u))]
+            if len(new) < len(uids):  # equal rows are one document
+                batch = batch.take(pa.array(new, pa.int64()))
             texts = batch.column(2).to_pylist()
             for lo, hi in slices(texts, 4 << 20):
                 c = chunked(texts[lo:hi], tails=True)
@@ -178,8 +191,25 @@ def _chunks(docs: DataFrame, places: bool) -> DataFrame:
     return src.mapInArrow(run, "hi long, lo int, uid long, " + ("seen byte, place long, meta long" if places else "key long"))
 
 
+def anchored(pos: np.ndarray, words: np.ndarray, start: np.ndarray, end: np.ndarray, n: int, min_words: int) -> np.ndarray:
+    """Which chunks of a run to look for elsewhere, if of the n words in and beside it min_words may be a passage.
+
+    One that every such window holds, with as many bytes before it as its cuts depend on; if there is none, all.
+    """
+    first = n - min_words  # the last window's first word
+    opened = start[0] if first < pos[0] else end[min(int(np.searchsorted(pos + words, first, side="right")), len(end) - 1)]
+    inner = np.flatnonzero((pos >= first) & (pos + words <= min_words - SLACK) & (start >= opened + WINDOW + SHORT))
+    return inner[[len(inner) // 2]] if len(inner) else np.arange(len(pos))
+
+
+PASSAGE = "uid long, begin long, size long, words int, removed_bytes long, shared boolean, sure boolean, anchors array<struct<hi: long, lo: int, at: long, low: int, high: int>>"
+
+
 def _runs(rows: DataFrame, min_bytes: int, min_words: int, spans: bool) -> DataFrame:
-    """Of each document (uid) with repeated chunks: what its passages come to, and with spans the places to remove."""
+    """The runs that are passages (sure), or may be with the words beside them; with spans the places to remove.
+
+    anchors, of the latter: the chunks to look for elsewhere, and the first words of windows, told from a chunk's first.
+    """
 
     def settle(t: pa.Table) -> pa.RecordBatch:
         col = {n: t.column(n).to_numpy(zero_copy_only=False) for n in t.column_names}
@@ -192,22 +222,33 @@ def _runs(rows: DataFrame, min_bytes: int, min_words: int, spans: bool) -> DataF
         head = np.flatnonzero(fresh)
         tail = np.r_[head[1:], len(own)] - 1
         reach = np.add.reduceat(words, head)
-        may = reach + unpacked(col["meta"][head], "before") + unpacked(col["meta"][tail], "after")
-        passage = (end[tail] - start[head] >= min_bytes) & (may >= min_words)
-        gone = np.repeat(passage, tail - head + 1) & col["later"]
-        doc = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        run_doc = np.searchsorted(doc, head, side="right") - 1
-        shared = np.logical_or.reduceat(col["across"], head) & passage
-        by_doc = lambda x: np.bincount(run_doc, weights=x, minlength=len(doc)).astype(np.int64)
+        before = unpacked(col["meta"][head], "before")
+        may = reach + before + unpacked(col["meta"][tail], "after")
+        use = np.flatnonzero((end[tail] - start[head] >= min_bytes) & (may >= min_words))
+        sure = reach >= min_words
+        anchors = []
+        for r in use.tolist():
+            part = slice(int(head[r]), int(tail[r]) + 1)
+            if sure[r]:
+                anchors.append(None)
+                continue
+            w = words[part]
+            pos = before[r] + np.cumsum(w) - w
+            low, high = np.maximum(-pos, w - min_words) - SLACK, np.minimum(may[r] - min_words - pos, 0) + SLACK
+            anchors.append([
+                {"hi": int(col["hi"][part][k]), "lo": int(col["lo"][part][k]), "at": int(start[part][k]), "low": int(low[k]), "high": int(high[k])}
+                for k in anchored(pos, w, start[part], end[part], int(may[r]), min_words).tolist()
+            ])
+        gone = np.add.reduceat(size * col["later"], head)
+        shape = pa.list_(pa.struct([("hi", pa.int64()), ("lo", pa.int32()), ("at", pa.int64()), ("low", pa.int32()), ("high", pa.int32())]))
         arrays = {
-            "uid": pa.array(own[doc]), "n_passages": pa.array(by_doc(passage)), "repeated_bytes": pa.array(by_doc(np.where(passage, end[tail] - start[head], 0))),
-            "longest_words": pa.array(np.maximum.reduceat(np.where(passage, reach, 0), np.searchsorted(run_doc, np.arange(len(doc))))),
-            "removed_bytes": pa.array(np.add.reduceat(size * gone, doc)), "repeated": pa.array(by_doc(shared) > 0),
+            "uid": pa.array(own[head][use]), "begin": pa.array(start[head][use]), "size": pa.array((end[tail] - start[head])[use]), "words": pa.array(reach[use].astype(np.int32)),
+            "removed_bytes": pa.array(gone[use]), "shared": pa.array(np.logical_or.reduceat(col["across"], head)[use]), "sure": pa.array(sure[use]), "anchors": pa.array(anchors, shape),
         }
         if spans:
-            at = np.flatnonzero(gone)
-            edges = pa.array(np.searchsorted(at, np.r_[doc, len(own)]).astype(np.int32))
-            arrays["places"] = pa.ListArray.from_arrays(edges, pa.array(col["place"][at]))
+            at = np.flatnonzero(np.isin(np.cumsum(fresh) - 1, use) & col["later"])
+            edges = np.searchsorted(np.searchsorted(head, at, side="right") - 1, np.r_[use, len(head)])
+            arrays["places"] = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(col["place"][at]))
         return pa.RecordBatch.from_pydict(arrays)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,17 +264,74 @@ def _runs(rows: DataFrame, min_bytes: int, min_words: int, spans: bool) -> DataF
         if held is not None and held.num_rows:
             yield settle(held)
 
-    schema = "uid long, n_passages long, repeated_bytes long, longest_words long, removed_bytes long, repeated boolean" + (", places array<long>" if spans else "")
-    return rows.repartition("uid").sortWithinPartitions("uid", "place").mapInArrow(run, schema)
+    return rows.repartition("uid").sortWithinPartitions("uid", "place").mapInArrow(run, PASSAGE + (", places array<long>" if spans else ""))
+
+
+def windows(text: bytes, asked: list[dict[str, int]], min_words: int) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """Windows of min_words words that begin between low and high words after the first word of each asked place.
+
+    Their first words, the asked places, and where they are in the words joined by one space.
+    """
+    parts = text.split()
+    gap = SPACE[np.frombuffer(text, dtype=np.uint8)]
+    begin = np.flatnonzero(~gap & np.r_[True, gap[:-1]])
+    joined = np.r_[0, np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) + 1)]
+    first, place = [], []
+    for a in asked:
+        k = int(np.searchsorted(begin, a["at"]))
+        some = np.arange(max(0, k + a["low"]), min(k + a["high"], len(parts) - min_words) + 1)
+        first.append(some)
+        place.append(np.full(len(some), a["at"]))
+    at, p = np.concatenate(first), np.concatenate(place)
+    return at, p, [b" ".join(parts)], joined[at], joined[at + min_words] - 1 - joined[at]
+
+
+def _told(docs: DataFrame, rows: DataFrame, unsure: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame]:
+    """uid, begin, across of those runs whose windows are found elsewhere (across: in another document); and a table to discard."""
+    anchors = unsure.select("uid", "begin", F.inline("anchors"))
+    wanted = anchors.groupBy("hi", "lo").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    places = rows.select("hi", "lo", "uid", F.shiftright("place", 28).alias("at")).join(wanted, ["hi", "lo"])
+    asked = places.groupBy("uid").agg(F.collect_set(F.struct("at", "low", "high")).alias("asked"))
+    src = project(docs, ["doc_id", "text"]).select(identity().alias("uid"), F.col("text").cast("binary").alias("body")).join(asked, "uid")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
+        for batch in batches:
+            for uid, body, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if uid in met:
+                    continue
+                met.add(uid)
+                at, p, texts, start, size = windows(body, places, min_words)
+                if len(at):
+                    a, b = digests(texts, np.zeros(len(at), dtype=np.int64), start, size)
+                    yield pa.RecordBatch.from_pydict({"hi": pa.array(a), "lo": pa.array(b), "uid": pa.array(np.full(len(at), uid)), "word": pa.array(at), "at": pa.array(p)})
+
+    held = written(src.mapInArrow(run, "hi long, lo int, uid long, word long, at long"), "substring-windows")
+    found = held.groupBy("hi", "lo").agg(F.min(F.struct("uid", "word")).alias("a"), F.max(F.struct("uid", "word")).alias("b")).where("a <> b")
+    found = found.select("hi", "lo", F.expr("a.uid <> b.uid").alias("across"))
+    seen = held.join(found, ["hi", "lo"]).groupBy("uid", "at").agg(F.max("across").alias("across"))
+    return anchors.select("uid", "begin", "at").join(seen, ["uid", "at"]).groupBy("uid", "begin").agg(F.max("across").alias("across")), held
 
 
 def _repeats(docs: DataFrame, min_bytes: int, min_words: int, spans: bool) -> DataFrame:
+    """Of each document (uid) with repeated passages: what they come to, and with spans the places to remove."""
     known = _chunks(docs, places=False).groupBy("hi", "lo").agg(F.min(F.struct("key", "uid")).alias("first"), F.min("uid").alias("a"), F.max("uid").alias("b"))
     known = known.where("a <> b").select("hi", "lo", F.col("first.uid").alias("owner"))
     rows = _chunks(docs, places=True).join(known, ["hi", "lo"], "left").where("owner is not null or seen > 0")
     # A chunk's first place in its own document stays there, if the document is the digest's first.
     later = (F.col("seen") == 2) | (F.coalesce("owner", "uid") != F.col("uid"))
-    return _runs(rows.select("uid", "place", "meta", later.alias("later"), F.col("owner").isNotNull().alias("across")), min_bytes, min_words, spans)
+    rows = written(rows.select("hi", "lo", "uid", "place", "meta", later.alias("later"), F.col("owner").isNotNull().alias("across")), "substring-chunks")
+    runs = written(_runs(rows, min_bytes, min_words, spans), "substring-runs")
+    told, held = _told(docs, rows, runs.where("not sure"), min_words)
+    kept = runs.join(told, ["uid", "begin"], "left").where("sure or across is not null")
+    sums = [
+        F.count("*").alias("n_passages"), F.sum("size").alias("repeated_bytes"), F.max(F.greatest("words", F.lit(min_words))).cast("long").alias("longest_words"),
+        F.sum("removed_bytes").alias("removed_bytes"), F.max(F.coalesce("across", "shared")).alias("repeated"),
+    ]
+    out = written(kept.groupBy("uid").agg(*sums, *([F.flatten(F.collect_list("places")).alias("places")] if spans else [])), "substring-passages")
+    for t in (rows, runs, held):
+        discard(t)
+    return out
 
 
 def report(docs: DataFrame, min_bytes: int = 24, min_words: int = 50) -> DataFrame:
