@@ -56,3 +56,37 @@ def test_odd_rows(spark):
     assert licences.report(df.limit(0)).count() == 0
     out = licences.families(df)
     assert out.columns == [*df.columns, "licences"] and out.count() == len(rows)
+
+
+GPL2 = """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version."""
+CASES = [
+    (GPL2, {"gpl-2.0"}),
+    (GPL2.replace("version 2", "version 3"), {"gpl-3.0"}),
+    (GPL2.replace("General", "Affero General").replace("version 2", "version 3"), {"agpl-3.0"}),
+    (GPL2.replace("program", "library").replace("General", "Lesser General").replace("version 2", "version 2.1"), {"lgpl"}),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.", {"isc"}),
+    ("Licensed under the Apache License, Version 1.1.", set()),
+    ("He drove without a license under the Apache helicopter, version 2.0 of the plan.", set()),
+    ("Please note: all rights of way are reserved.", set()),
+    ('Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.', {"apache-2.0"}),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", {"cc-by-sa-4.0"}),
+    ("The committee met under the terms of an agreement with the public library.", set()),
+]
+
+
+def test_headers_wrapped_and_on_one_line():
+    own = licences.trained()
+    for text, want in CASES:
+        for t in (text, text.replace("\n", " "), "\n".join("# " + x for x in text.split("\n")), "\n".join(" * " + x for x in text.split("\n")), "A word before this. " + text + " " + "and so it went on " * 30):
+            assert set(licences.found(t.encode(), own, 0.6, 0.75)) == want, t
+
+
+def test_stretches_stay_linear():
+    """A stretch of any length gives each of its licences, and nothing is judged beyond its end."""
+    own = licences.trained()
+    text = " ".join(["Released under the MIT License and licensed under the Mozilla Public License, version 2.0, as told"] * 200)
+    assert {"mit", "mpl-2.0"} <= set(licences.found(text.encode(), own, 0.6, 0.75))
+    assert list(licences.paragraphs(b"a b\nc.\n\n# \nd\n\ne")) == [([b"a", b"b", b"c"], [0, 2]), ([b"d"], [0]), ([b"e"], [0])]

@@ -1,13 +1,18 @@
 """Licence scans: a trained paragraph classifier, confirmed against templates.
 
-A paragraph (a line of the text that holds a word) is a bag of word uni- and
-bigrams, of which those made of template words have weights. Multinomial logistic regression gives it a licence family or
+A paragraph (lines up to one that ends a sentence, or up to one without words, so
+wrapped text is one) is a bag of word uni- and bigrams, of which those made of
+template words have weights. Multinomial logistic regression gives a licence family or
 `unknown`; its scores are calibrated with a temperature fitted on paragraphs
-held back from training, and a family is taken only from a calibrated
-probability of `least_probability` on. The prediction is then confirmed by
-comparison with the family's templates: the best aligned template must share
-`least_overlap` of its words in order (or of the paragraph's, if that is the
-shorter one) with the paragraph.
+held back from training. Where a paragraph is long, stretches of it that look like
+a licence are found first (in windows of words, or lines, the calibrated probability
+of `unknown` leaves `least_probability` or more) and then judged whole. What the
+classifier finds likely there is confirmed by comparison with the families'
+templates: the best aligned template must share `least_overlap` of its words in
+order (or of the paragraph's, if that is the shorter one) with the stretch, but for
+one word at most if it has ten or fewer. Its numbers, its name and the words that
+tell it apart must be there, and none that tells another licence. Of families that
+are confirmed by the same words the one with most of them stays.
 
 It is trained on paragraphs made from the templates (words left out, replaced
 and added, joined to other prose) and on others: prose made from hashed
@@ -19,7 +24,7 @@ Defined results
   paragraphs, the first one's place and the best probability and overlap;
   `families` gives one row for each document row;
 * a null or empty text has no paragraphs and so no licences; an empty table gives no rows;
-* a text of any length is judged whole, line by line;
+* a text of any length is judged whole, paragraph by paragraph;
 * repeated rows each give theirs; further columns are ignored by `report`, kept by `families`.
 """
 
@@ -48,6 +53,7 @@ TEMPLATES = {
     "mit": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
         "This project is licensed under the terms of the MIT license.",
         "SPDX-License-Identifier: MIT",
     ],
@@ -59,11 +65,18 @@ TEMPLATES = {
     "gpl-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
         "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
         "SPDX-License-Identifier: GPL-2.0-only",
     ],
+    "agpl-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ],
     "lgpl": [
         "This library is licensed under the GNU Lesser General Public License.",
         "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
         "SPDX-License-Identifier: LGPL-2.1",
     ],
     "bsd": [
@@ -72,6 +85,11 @@ TEMPLATES = {
         "Licensed under the BSD license.",
         "SPDX-License-Identifier: BSD-3-Clause",
     ],
+    "isc": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Licensed under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+    ],
     "mpl-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
@@ -99,8 +117,15 @@ TEMPLATES = {
     ],
 }
 UNKNOWN = "unknown"
-#: A longer paragraph is judged in windows of so many words, each half over the next.
+# Words that make another licence of the same sentence.
+APART = {b"lesser", b"library", b"affero", b"noncommercial", b"nc", b"sharealike", b"sa", b"noderivatives", b"noderivs", b"nd"}
+# Names without which a sentence is not that licence's.
+NAMES = {b"apache", b"mit", b"bsd", b"isc", b"mozilla", b"mpl", b"cc", b"cc0", b"creative", b"commons", b"spdx"}
+TELLING = APART | NAMES
+#: A longer paragraph is searched in windows of so many words, each half over the next.
 WINDOW = 24
+#: Of a template of so many words or fewer one may be missing.
+BRIEF = 10
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -137,17 +162,34 @@ class Classifier:
         others = [i for i in range(len(self.families)) if i != u]
         return (self.weights[:, others].max(axis=1) - self.weights[:, u]).tolist(), float(self.bias[others].max() - self.bias[u])
 
-    def overlap(self, family: str, words: list[bytes]) -> float:
-        """Share of a template's words that stand in the paragraph in order; the best template's."""
-        return max(aligned(t, words) for t in self.templates[family])
+    def confirmed(self, family: str, words: list[bytes], least_overlap: float) -> tuple[float, int, int, int] | None:
+        """What `placed` gives for the family's template with most shared words, of those that agree."""
+        return max((m for t in self.templates[family] if (m := placed(t, words))[0] >= least_overlap and agrees(t, words, m)), key=lambda m: (m[1], m[0]), default=None)
+
+
+def agrees(template: list[bytes], words: list[bytes], match: tuple[float, int, int, int]) -> bool:
+    """Whether what is shared holds the template's numbers and TELLING words, in order, and no word of APART that the template has not."""
+    _, n, begin, end = match
+    if len(template) <= BRIEF and n < min(len(template), max(3, len(words))) - 1:
+        return False
+    part = words[begin:end]
+    here = iter(part)
+    return all(w in here for w in template if w.isdigit() or w in TELLING) and not any(w in APART and w not in template for w in part)
 
 
 def aligned(template: list[bytes], words: list[bytes]) -> float:
-    """Longest common subsequence over the shorter of template and paragraph; other words between the shared ones lengthen that by half a word each."""
+    return placed(template, words)[0]
+
+
+def placed(template: list[bytes], words: list[bytes]) -> tuple[float, int, int, int]:
+    """Longest common subsequence over the shorter of template and paragraph, its length, and where it begins and ends.
+
+    Other words between the shared ones lengthen what it is measured by, by half a word each.
+    """
     shared = set(template)
     at = [i for i, w in enumerate(words) if w in shared]
     short = max(1, min(len(template), max(3, len(words))))
-    best = 0.0
+    best = (0.0, 0, 0, 0)
     # Repeats of the template in one paragraph each are a chance: look at windows of twice its length.
     for lo in range(0, len(at), max(1, len(template))):
         row = [(0, 0)] * (len(template) + 1)  # length and where it begins: of equal ones the latest, so the densest
@@ -162,7 +204,7 @@ def aligned(template: list[bytes], words: list[bytes]) -> float:
                 last = here
             n, begin = row[-1]
             if n:
-                best = max(best, n / max(short, n + (i - begin + 1 - n) / 2))
+                best = max(best, (n / max(short, n + (i - begin + 1 - n) / 2), n, begin, i + 1))
     return best
 
 
@@ -177,8 +219,9 @@ def made(seed: int, each: int) -> list[tuple[list[bytes], str]]:
         for i in range(each):
             ws = words_of(templates[i % len(templates)].encode())
             if rng.random() < 0.5 and len(ws) > 6:
-                ws = [w for w in ws if rng.random() > 0.08]
-                ws = [prose(1)[0] if rng.random() < 0.04 else w for w in ws]
+                # Without its number, its name or the word that tells it apart, it is not that licence.
+                ws = [w for w in ws if rng.random() > 0.08 or w.isdigit() or w in TELLING]
+                ws = [prose(1)[0] if rng.random() < 0.04 and not (w.isdigit() or w in TELLING) else w for w in ws]
             if rng.random() < 0.4:
                 ws = prose(rng.randint(0, 16)) + ws + prose(rng.randint(0, 16))
             out.append((ws, family))
@@ -254,31 +297,75 @@ def other_lines(docs: DataFrame, sample_docs: int) -> list[list[bytes]]:
     return [w for w in (words_of(s.encode()) for s in got) if w and not any(tuple(w[i : i + 3]) in three for i in range(len(w) - 2))]
 
 
+def paragraphs(text: bytes) -> Iterator[tuple[list[bytes], list[int]]]:
+    """The words of each, and where its lines begin in them: lines up to one that ends a sentence or has no word."""
+    held: list[bytes] = []
+    begins: list[int] = []
+    for line in text.split(b"\n"):
+        words = words_of(line)
+        if words:
+            begins.append(len(held))
+            held += words
+        if held and (not words or line.rstrip(b" \t\r*/#>-\"')").endswith((b".", b"!", b"?", b":"))):
+            yield held, begins
+            held, begins = [], []
+    if held:
+        yield held, begins
+
+
+def stretches(words: list[bytes], begins: list[int], own: Classifier, edge: list[float], base: float, least_probability: float) -> Iterator[tuple[list[bytes], set[str]]]:
+    """Where windows, or lines within a window's length, look like a licence: the words there and half a window beside them.
+
+    And the three likeliest families of each.
+    """
+    half = WINDOW // 2
+    windows = {(lo, min(len(words), lo + WINDOW)) for lo in range(0, max(1, len(words) - half), half)}
+    windows |= {(lo, hi) for lo, hi in zip(begins, [*begins[1:], len(words)]) if hi - lo <= WINDOW}
+    unknown = own.families.index(UNKNOWN)
+    begin, end, likely = 0, -1, set()
+    for lo, hi in sorted(windows):
+        f = own.features(words[lo:hi])
+        # No family can beat `unknown` if not even the best one for each feature could.
+        if not f or base + sum([edge[i] for i in f]) / (hi - lo) ** 0.5 <= 0:
+            continue
+        p = own.probabilities(words[lo:hi])
+        if int(p.argmax()) == unknown or 1 - p[unknown] < least_probability:
+            continue
+        if lo > end:
+            if likely:
+                yield words[max(0, begin - half) : end + half], likely
+            begin, end, likely = lo, -1, set()
+        end = max(end, hi)
+        likely |= {own.families[k] for k in np.argsort(-p, kind="stable")[:3].tolist()} - {UNKNOWN}
+    if likely:
+        yield words[max(0, begin - half) : end + half], likely
+
+
+def judged(words: list[bytes], likely: set[str], own: Classifier, least_overlap: float) -> Iterator[tuple[str, float, float]]:
+    """family, probability, overlap of what a stretch is confirmed to hold."""
+    p = own.probabilities(words)
+    # Beside what windows gave, what is most likely for the stretch as a whole.
+    likely = likely | {own.families[k] for k in np.argsort(-p, kind="stable")[:3].tolist()} - {UNKNOWN}
+    found = [(m, f) for f in sorted(likely) if (m := own.confirmed(f, words, least_overlap))]
+    taken: list[tuple[int, int]] = []
+    for (overlap, _, begin, end), family in sorted(found, key=lambda x: (-x[0][1], -x[0][0], x[1])):
+        if all(end <= lo or begin >= hi for lo, hi in taken):
+            taken.append((begin, end))
+            yield family, float(own.probabilities(words[begin:end])[own.families.index(family)]), overlap
+
+
 def found(text: bytes, own: Classifier, least_probability: float, least_overlap: float) -> dict[str, list]:
     """family: [paragraphs, place of the first, best probability, best overlap]."""
     out: dict[str, list] = {}
     edge, base = own.edges()
-    for nth, line in enumerate(text.split(b"\n")):
-        words = words_of(line)
+    for nth, (words, begins) in enumerate(paragraphs(text)):
         seen = set()
-        for lo in range(0, max(1, len(words) - WINDOW // 2), WINDOW // 2):
-            part = words[lo : lo + WINDOW]
-            f = own.features(part)
-            # No family can beat `unknown` if not even the best one for each feature could.
-            if not f or base + sum([edge[i] for i in f]) / len(part) ** 0.5 <= 0:
-                continue
-            p = own.probabilities(part)
-            k = int(p.argmax())
-            family = own.families[k]
-            if family == UNKNOWN or p[k] < least_probability:
-                continue
-            o = own.overlap(family, part)
-            if o < least_overlap:
-                continue
-            got = out.setdefault(family, [0, nth, 0.0, 0.0])
-            got[0] += family not in seen
-            seen.add(family)
-            got[2], got[3] = max(got[2], float(p[k])), max(got[3], o)
+        for part, likely in stretches(words, begins, own, edge, base, least_probability):
+            for family, probability, overlap in judged(part, likely, own, least_overlap):
+                got = out.setdefault(family, [0, nth, 0.0, 0.0])
+                got[0] += family not in seen
+                seen.add(family)
+                got[2], got[3] = max(got[2], probability), max(got[3], overlap)
     return out
 
 
