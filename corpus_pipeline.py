@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as
 Parquet in the folder that driver and executors share and read again as the
 next one's docs. All but the last keep the columns of documents.
+
+Defined results, of every stage
+* a null or empty text has no language, so it goes in the first stage; a later stage keeps it, with no hits, secrets or tokens;
+* rows without doc_id are rows like others, and of near copies the last to stay;
+* rows that repeat are near copies of each other: one stays;
+* texts of any length are judged whole; a table without rows gives none;
+* further columns are kept as they are, those too whose names differ from text or n_chars in case only.
 """
 
 from __future__ import annotations
@@ -12,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, langid, secrets, simhash
-from tidemark.llm.common import discard, table, written
+from tidemark.llm.common import discard, project, table, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,17 +39,20 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced in the texts; n_chars follows where a text has changed."""
-    old = docs.withColumn("__old", F.col("text"))
-    out = secrets.redacted(old)
-    if "n_chars" in docs.columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        out = out.withColumn("n_chars", F.when(F.col("__old").eqNullSafe(F.col("text")), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
-    return out.select(*docs.columns)
+    names = docs.columns
+    inner = [f"__c{i}" for i in range(len(names))]
+    text = inner[names.index("text")]
+    old = docs.toDF(*inner).withColumn("__old", F.col(text)).toDF(*names, "__old")
+    out = secrets.redacted(old).toDF(*inner, "__old")
+    if "n_chars" in names:
+        n = inner[names.index("n_chars")]
+        out = out.withColumn(n, F.when(F.col("__old").eqNullSafe(F.col(text)), F.col(n)).otherwise(F.length(text).cast(out.schema[n].dataType)))
+    return out.select(*inner).toDF(*names)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens and the token ids of every document."""
-    coded = bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    coded = project(bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")), ["doc_id", "lang", "source", "ids"])
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
