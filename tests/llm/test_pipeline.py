@@ -63,3 +63,16 @@ def test_odd_rows(spark):
         for _, stage in corpus_pipeline.STAGES:
             now = spark.createDataFrame(stage(spark, now, SF).collect(), stage(spark, now, SF).schema)
         assert [(r["doc_id"], r["n_tokens"]) for r in now.collect()] == ([] if empty else [(3, 6)])  # the row without doc_id is a copy
+
+
+def test_clashing_names(spark):
+    """Every stage keeps columns whose names differ in case only, and redacts the right one."""
+    text = 'of the and to in is\ntoken = "' + "0123456789abcdef0123456789abcdef01234567" + '"'
+    rows = [(1, text, "en", "s", len(text), "A", "B", -1), (2, "of the and to in is " * 3000, "en", "s", 60000, "A", "B", -1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, TEXT string, Lang string, N_CHARS int")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+    got = sorted(tuple(r) for r in corpus_pipeline.redact_secrets(spark, docs, SF).collect())
+    assert got[1] == rows[1] and got[0][1] == 'of the and to in is\ntoken = "[SECRET]"' and got[0][4] == len(got[0][1]) and got[0][5:] == rows[0][5:]
+    assert corpus_pipeline.encode(spark, docs, SF).columns == ["doc_id", "lang", "source", "n_tokens", "ids"]
