@@ -5,7 +5,8 @@ Parquet in the folder that driver and executors share and read again as the
 next one's docs. All but the last keep the columns of documents.
 
 Defined results, of every stage
-* a null or empty text has no language, so it goes in the first stage; a later stage keeps it, with no hits, secrets or tokens;
+* a null or empty text has no language, so it goes in the first stage; given to a later one it has no hits, secrets or
+  tokens, and is a near copy of other texts without words, of which one stays;
 * rows without doc_id are rows like others, and of near copies the last to stay;
 * rows that repeat are near copies of each other: one stays;
 * texts of any length are judged whole; a table without rows gives none;
