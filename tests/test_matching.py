@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import numpy as np
 
@@ -55,6 +56,25 @@ def test_against_the_definition(spark):
     assert lost == {(k, i) for k, i, _ in e} - {(k, p) for (k, _), p in want.items() if p is not None}
 
 
+def test_chunks_hold_no_copies_of_a_track(spark):
+    """What is kept grows with the rows, however many chunks they are dealt over; places may have gaps, and two bodies."""
+    rng = random.Random(11)
+    e = [("a", i * 3, rng.randrange(2)) for i in range(4000)] + [("b", i // 2, f) for i, f in enumerate(rng.choices(range(3), k=60))]
+    r = [("a", i, rng.randrange(2)) for i in range(3000)] + [("b", i, rng.randrange(4)) for i in range(40)]
+    want = {}
+    for key in "ab":
+        at, own = 0, sorted((p, b) for k, p, b in e if k == key)
+        for _, i, body in (x for x in r if x[0] == key):
+            want[key, i] = next((p for p, b in own if p >= at and b == body), None)
+            at = at if want[key, i] is None else want[key, i] + 1
+    top = Path(logs.shared_dir(spark).removeprefix("file://").removeprefix("file:"))
+    size = lambda: sum(f.stat().st_size for f in top.rglob("*") if f.is_file())
+    before = size()
+    got = matching.matched(spark.createDataFrame(e, "key string, place long, body long"), spark.createDataFrame(r, "key string, arrival long, body long"), "key", chunk=4).collect()
+    assert {(x["key"], x["arrival"]): x["place"] for x in got} == want and len(got) == len(r)
+    assert size() - before < 10_000_000
+
+
 def test_elapsed_cuts_over_chunks(spark):
     """Tracks dealt over many chunks are cut as if walked frame by frame, also where times go back or stand."""
     rng, rows, want = random.Random(3), [], {}

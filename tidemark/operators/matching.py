@@ -1,18 +1,18 @@
 """Received messages matched to expected ones by their bodies, in order, where bodies may repeat.
 
 A message received is the next expected one, past the last match, that has its body; what is stepped over was lost, and one that
-has no such place is none of the expected, or came out of order. That is a recurrence along a key, but a chunk of what was received is a
-function from the place reached before it to the place reached after it: a rising step function, told by the places of the chunk's own bodies. Chunks'
-functions are worked out apart, a walk over them gives each chunk its beginning, and then chunks are matched, again apart. A key of any length
-is so dealt over as many tasks as it has chunks; in the walk a chunk is one row.
+has no such place is none of the expected, or came out of order. That is a recurrence along a key. Bodies are told by numbers, and with each
+one received comes the last place that it is expected at, so a walk goes over both sides once: it steps on until the body comes, and it never
+looks for one that does not come any more. Chunks of rows are packed, and results told to them, apart; the walk along a key is one task, which
+has two numbers for a row, and takes time as the rows do.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,13 +23,6 @@ from tidemark.operators.logs import kept
 CHUNK = 4096
 
 
-def _parted(both: pd.DataFrame) -> tuple[pd.DataFrame, dict]:
-    """A chunk's received rows in order, and each body's expected places, ascending."""
-    came = both[both["arrival"].notna()].sort_values(["arrival", "body"])
-    there = both[both["place"].notna()]
-    return came, {body: np.unique(g.to_numpy(dtype=np.int64)) for body, g in there.groupby("body")["place"]}
-
-
 def stepped(bodies: list, places: dict) -> tuple[np.ndarray, np.ndarray]:
     """A chunk as a function: from up to uppers[i] (and over the one before) it leads to values[i], from beyond the last to itself."""
     uppers = values = np.empty(0, dtype=np.int64)
@@ -49,46 +42,51 @@ def stepped(bodies: list, places: dict) -> tuple[np.ndarray, np.ndarray]:
 def matched(expected: DataFrame, received: DataFrame, key: str, chunk: int = CHUNK) -> DataFrame:
     """received (key, arrival, body) with place: the expected one's (key, place, body), from 0; null where it is none.
 
-    Of equal arrivals the lesser body comes first; a null body or key matches nothing. A chunk's task holds its rows and the places of its bodies.
+    Of equal arrivals the lesser body comes first; a null body or key matches nothing. A chunk's rows are packed as one row, and a key's
+    places and bodies are held in the walk as 16 bytes each.
     """
     kind = dict(received.dtypes)
-    came = received.select(F.col(key).alias("k"), F.floor(F.col("arrival") / chunk).alias("chunk"), "body", F.col("arrival").cast("long").alias("arrival"), F.lit(None).cast("long").alias("place"))
-    wanted = came.select("k", "chunk", "body").distinct()
-    there = expected.select(F.col(key).alias("k"), "body", F.col("place").cast("long").alias("place")).join(wanted, ["k", "body"]).select("k", "chunk", "body", F.lit(None).cast("long").alias("arrival"), "place")
-    both = kept(came.unionByName(there))
-
-    def function(k: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        got, places = _parted(rows)
-        uppers, values = stepped(got["body"].tolist(), places)
-        return pd.DataFrame({"k": [k[0]], "chunk": [k[1]], "uppers": [uppers.tolist()], "to": [values.tolist()]})
+    there = expected.select(F.col(key).alias("k"), "body", F.col("place").cast("long").alias("place")).where("k is not null and body is not null and place >= 0")
+    known = kept(there.groupBy("k", "body").agg(F.max("place").alias("last")).withColumn("code", F.monotonically_increasing_id()))
+    came = received.select(F.col(key).alias("k"), "body", F.col("arrival").cast("long").alias("arrival")).join(known, ["k", "body"], "left")
+    rows = F.array_sort(F.collect_list(F.struct("arrival", "body", F.coalesce("code", F.lit(-1)).alias("code"), F.coalesce("last", F.lit(-1)).alias("at"))))
+    chunks = kept(came.groupBy("k", F.floor(F.col("arrival") / chunk).alias("chunk")).agg(rows.alias("rows")))
+    block = there.join(known, ["k", "body"]).groupBy("k", F.floor(F.col("place") / CHUNK).alias("chunk")).agg(F.array_sort(F.collect_list(F.struct(F.col("place").alias("at"), "code"))).alias("rows"))
+    packed = lambda df, came: df.select("k", F.lit(came).alias("came"), "chunk", F.col("rows.code").alias("codes"), F.col("rows.at").alias("ats"))
 
     def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, at = object(), 0
+        now, upto, nth = object(), 0, 0
+        codes, places = array("q"), array("q")
         for batch in batches:
-            starts = []
-            for k, uppers, to in zip(batch.column("k").to_pylist(), batch.column("uppers"), batch.column("to"), strict=True):
-                now, at = k, at if k == now else 0
-                starts.append(at)
-                nth = int(np.searchsorted(uppers.values.to_numpy(), at)) if len(uppers) else 0
-                at = to.values[nth].as_py() if nth < len(uppers) else at
-            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("chunk"), pa.array(starts, pa.int64())], names=["k", "chunk", "start"])
-
-    def replayed(k: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        got, places = _parted(rows)
-        at, out = int(rows["start"].iloc[0]), []
-        for body in got["body"]:
-            own = places.get(body)
-            nth = 0 if own is None else int(np.searchsorted(own, at))
-            found = None if own is None or nth == len(own) else int(own[nth])
-            at = at if found is None else found + 1
-            out.append(found)
-        return pd.DataFrame({"k": [k[0]] * len(out), "arrival": got["arrival"].astype("int64").to_numpy(), "body": got["body"].to_numpy(), "place": pd.array(out, dtype="Int64")})
-
-    functions = both.groupBy("k", "chunk").applyInPandas(function, f"k {kind[key]}, chunk long, uppers array<long>, to array<long>")
-    starts = functions.repartition("k").sortWithinPartitions("k", "chunk").mapInArrow(walked, f"k {kind[key]}, chunk long, start long")
-    begun = both.join(starts.withColumnsRenamed({"k": "k2", "chunk": "c2"}), F.col("k").eqNullSafe(F.col("k2")) & (F.col("chunk") == F.col("c2"))).drop("k2", "c2")
-    out = begun.groupBy("k", "chunk").applyInPandas(replayed, f"k {kind[key]}, arrival long, body {kind['body']}, place long")
-    return out.select(F.col("k").alias(key), "arrival", "body", "place")
+            found = []
+            came = batch.column("came")
+            for k, got, own, ats in zip(batch.column("k").to_pylist(), came.to_pylist(), batch.column("codes"), batch.column("ats"), strict=True):
+                if k != now:
+                    now, upto, nth, codes, places = k, 0, 0, array("q"), array("q")
+                own, ats = own.values.to_numpy(), ats.values.to_numpy()
+                if not got:
+                    codes.frombytes(own.tobytes())
+                    places.frombytes(ats.tobytes())
+                    continue
+                met = []
+                for code, last in zip(own.tolist(), ats.tolist(), strict=True):
+                    if last < upto:
+                        met.append(None)
+                        continue
+                    nth = codes.index(code, nth)
+                    met.append(places[nth])
+                    upto = places[nth] + 1
+                    while nth < len(places) and places[nth] < upto:
+                        nth += 1
+                found.append(met)
+            mine = batch.filter(came)
+            yield pa.RecordBatch.from_arrays([mine.column("k"), mine.column("chunk"), pa.array(found, pa.list_(pa.int64()))], names=["k", "chunk", "found"])
+
+    both = packed(block, False).unionByName(packed(chunks, True))
+    walk = both.repartition("k").sortWithinPartitions("k", "came", "chunk").mapInArrow(walked, f"k {kind[key]}, chunk long, found array<long>")
+    told = chunks.join(walk.withColumnsRenamed({"k": "k2", "chunk": "c2"}), F.col("k").eqNullSafe(F.col("k2")) & F.col("chunk").eqNullSafe(F.col("c2")))
+    out = told.select("k", F.explode(F.arrays_zip("rows", "found")).alias("r"))
+    return out.select(F.col("k").alias(key), F.col("r.rows.arrival").alias("arrival"), F.col("r.rows.body").alias("body"), F.col("r.found").alias("place"))
 
 
 def missing(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
