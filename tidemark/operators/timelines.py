@@ -6,7 +6,7 @@ value is carried over, so no pair of rows is ever made only to be dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.logs import kept, running
@@ -62,13 +62,25 @@ def matched_in_order(expected: DataFrame, received: DataFrame, key: str) -> Data
 
 def above_floor(rows: DataFrame, key: str, time: str, late: str, reach: int) -> DataFrame:
     """rows with the lateness over the least within reach on either side in time."""
-    # A row is in its own chunk of time, and a guest in those that it is within reach of: a key of any length is many windows.
-    span = max(4 * reach, 1)
-    chunk = lambda c: F.floor(c / span).cast("long")
-    at = F.col(time)
-    each = rows.withColumn("__own", chunk(at)).withColumn("__chunk", F.explode(F.array_distinct(F.array(chunk(at), chunk(at - reach), chunk(at + reach)))))
-    w = Window.partitionBy(key, "__chunk").orderBy(time).rangeBetween(-reach, reach)
-    return each.withColumn("above", F.col(late) - F.min(late).over(w)).where("__own <=> __chunk").drop("__own", "__chunk")
+    # A row's reach begins in one chunk of time and ends in the next, a reach on either side long: what is least in it is least from its beginning
+    # to the one chunk's end, or from the other's beginning to its end. Both are running values, so rows that lie close together cost no more.
+    span = max(2 * reach, 1)
+
+    def least(df: DataFrame, edge: Column, out: str, back: bool) -> DataFrame:
+        """df (__r, and what was found before) with the least value of edge's chunk, from edge on or (not back) up to it."""
+        seen = F.struct(F.col(f"__r.{time}").alias("t"), F.col(f"__r.{late}").alias("v"), F.lit(False).alias("asks"))
+        asks = F.struct(edge.alias("t"), F.lit(None).cast(kind).alias("v"), F.lit(True).alias("asks"))
+        each = df.withColumn("__e", F.explode(F.array(seen, asks))).select(
+            F.col(f"__r.{key}").alias("__k"), F.floor(F.col("__e.t") / span).alias("__chunk"), F.col("__e.t").alias("__t"), F.col("__e.v").alias("__v"), F.col("__e.asks").alias("__asks"),
+            *[F.when(F.col("__e.asks"), F.col(c)).alias(c) for c in df.columns],
+        )
+        w = Window.partitionBy("__k", "__chunk").orderBy(F.desc("__t") if back else F.asc("__t")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        return each.withColumn(out, F.min("__v").over(w)).where("__asks").select(*df.columns, out)
+
+    kind = dict(rows.dtypes)[late]
+    before = least(rows.select(F.struct(*rows.columns).alias("__r")), F.col(f"__r.{time}") - reach, "__a", back=True)
+    both = least(before, F.col(f"__r.{time}") + reach, "__b", back=False)
+    return both.select("__r.*", (F.col(f"__r.{late}") - F.least("__a", "__b")).alias("above"))
 
 
 def batches(rows: DataFrame, key: str, time: str, gap: int) -> DataFrame:
