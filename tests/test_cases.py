@@ -1,5 +1,8 @@
 """Single cases of codecs, samples, catalogs and addresses, by value."""
 
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from tidemark.functions import address, codec
@@ -49,3 +52,28 @@ def test_codec_names(spark):
 def test_refused_catalogs(spark):
     rows = spark.createDataFrame(list(BROKEN.items()), "broadcast long, document string")
     assert {tuple(r) for r in catalog.problems(catalog.renditions(rows)).collect()} == PROBLEMS
+
+
+def test_ports_of_broadcasts_of_any_size(spark):
+    """Ports as if told one after the other, also where an index's port is a later name, or the end of a longer one."""
+    rng, rows, want = random.Random(2), [], {}
+    end = lambda: rng.choice(["-1", "-3", "-12", "-007", "--4", "--", "-0", "-", "-99999999999999999999"])
+    for b in [*range(60), None]:
+        given = set()
+        for o in sorted(rng.sample(range(-6, 24), 20)):
+            name = None if rng.random() < 0.05 else rng.choice(["", "a", "a", "a b", "é"]) + "".join(end() for _ in range(rng.choice([0, 0, 1, 2, 3])))
+            safe = re.sub("[^A-Za-z0-9_-]", "_", name or "")
+            port = f"{safe}-{o}" if not safe or safe in given else safe
+            given.add(port)
+            rows.append((b, o, name))
+            want[b, o] = port
+    rng.shuffle(rows)
+    got = catalog.ports(spark.createDataFrame(rows, "broadcast long, ordinal int, name string")).collect()
+    assert {(r["broadcast"], r["ordinal"]): r["port"] for r in got} == want and len(got) == len(rows)
+
+
+def test_ports_are_not_folded_by_broadcast(spark):
+    """A fold over a broadcast's tracks looks at all that were given before, for each."""
+    rows = spark.range(10).selectExpr("0L as broadcast", "cast(id as int) as ordinal", "'a' as name")
+    plan = catalog.ports(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [a for a in plan.split("\n") if "collect_list" in a and "ordinal" in a]

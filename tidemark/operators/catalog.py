@@ -128,21 +128,45 @@ def relation(rows: DataFrame) -> DataFrame:
 def ports(rows: DataFrame) -> DataFrame:
     """rows with port: the name in safe characters; empty or given to a port before, it gets the track's index.
 
-    A name may clash with a port that an index made, so a broadcast's tracks (a handful) are folded in order.
+    A track's ordinal is its own in a broadcast, which may have any number of tracks. All but the first track of a name clash. The first one
+    clashes where its name is a port that an index made: that track is told by the name's own end, and had to clash itself, which the
+    name's earlier ends tell in turn. So each such name asks for the tracks that its ends name, and is folded alone.
     """
-    each = rows.groupBy("broadcast").agg(F.sort_array(F.collect_list(F.struct("ordinal", F.regexp_replace("name", "[^A-Za-z0-9_-]", "_").alias("safe")))).alias("__t"))
-
-    def named(given: Column, t: Column) -> Column:
-        safe = F.coalesce(t["safe"], F.lit(""))
-        clash = (safe == "") | F.exists(given, lambda g: g["port"] == safe)
-        port = F.when(clash, F.concat(safe, F.lit("-"), t["ordinal"].cast("string"))).otherwise(safe)
-        return F.concat(given, F.array(F.struct(t["ordinal"].alias("ordinal"), port.alias("port"))))
-
     kind = dict(rows.dtypes)["ordinal"]
-    none = F.from_json(F.lit("[]"), f"array<struct<ordinal:{kind},port:string>>")
-    given = each.select(F.col("broadcast").alias("__b"), F.explode(F.aggregate("__t", none, named)).alias("__p"))
-    at = given.select("__b", F.col("__p.ordinal").alias("__o"), F.col("__p.port").alias("port"))
-    return rows.join(at, rows["broadcast"].eqNullSafe(at["__b"]) & rows["ordinal"].eqNullSafe(at["__o"])).drop("__b", "__o")
+    safe = F.coalesce(F.regexp_replace("name", "[^A-Za-z0-9_-]", "_"), F.lit(""))
+    own = rows.select(F.col("broadcast").alias("__b"), F.col("ordinal").alias("__o"), safe.alias("__s"))
+    # A null ordinal comes first, as in any order.
+    firsts = own.where("__s != ''").groupBy("__b", "__s").agg(F.min(F.struct(F.col("__o").isNotNull(), "__o"))["__o"].alias("__o"))
+
+    # Each end '-<ordinal>' of a beginning of the name: where it begins (at) and ends (upto), and the track that would have made it.
+    dashes = F.filter(F.sequence(F.lit(1), F.length("__s")), lambda i: F.substring(F.col("__s"), i, F.lit(1)) == "-")
+    asking = firsts.where("__s rlike '-[0-9]+$'").select("*", F.explode(dashes).alias("__at"))
+    index = F.expr(r"regexp_extract(substring(__s, __at + 1), '^(0|-?[1-9][0-9]*)(?=-|$)', 1)")
+    ends = asking.withColumn("__i", index).where("__i != ''").select(
+        F.struct("__b", "__o", "__s").alias("__asks"), "__at", (F.col("__at") + 1 + F.length("__i")).alias("__upto"), F.expr(f"try_cast(__i as {kind})").alias("__n"), F.expr("left(__s, __at - 1)").alias("__p"),
+    )
+    same = lambda x, y: F.col(x).eqNullSafe(F.col(y))
+    first = firsts.select(F.col("__b").alias("__fb"), F.col("__o").alias("__fo"), F.col("__s").alias("__fs"))
+    held = own.withColumnsRenamed({"__b": "__hb", "__o": "__ho", "__s": "__hs"})
+    made = ends.join(held, F.col("__asks.__b").eqNullSafe(F.col("__hb")) & (F.col("__n") == F.col("__ho")) & (F.col("__p") == F.col("__hs")))
+    made = made.join(first, same("__hb", "__fb") & same("__ho", "__fo") & same("__hs", "__fs"), "left").select("__asks", F.struct("__at", "__upto", "__n", F.col("__fs").isNull().alias("late")).alias("__e"))
+
+    def told(by: Column, at: Column, n: Column) -> Column:
+        """Whether an end that clashed, of an earlier track, makes the name up to here."""
+        return F.exists(by, lambda e: (e["upto"] == at) & (n.isNull() | (e["n"] < n)))
+
+    def fold(by: Column, e: Column) -> Column:
+        return F.when(e["late"] | told(by, e["__at"], e["__n"]), F.array_append(by, F.struct(e["__upto"].alias("upto"), e["__n"].alias("n")))).otherwise(by)
+
+    none = F.from_json(F.lit("[]"), f"array<struct<upto:int,n:{kind}>>")
+    each = made.groupBy("__asks").agg(F.sort_array(F.collect_list("__e")).alias("__ends")).select("__asks.*", F.aggregate("__ends", none, fold).alias("__by"))
+    taken = each.where(told(F.col("__by"), F.length("__s") + 1, F.col("__o"))).select(F.col("__b").alias("__tb"), F.col("__o").alias("__to"), F.col("__s").alias("__ts"))
+
+    # Who keeps its name: the first of it, if no index has made it. Nothing is dealt by a name or a broadcast alone, of which there may be few.
+    free = first.join(taken, same("__fb", "__tb") & same("__fo", "__to") & same("__fs", "__ts"), "left_anti")
+    at = rows.withColumn("__s", safe).join(free, same("broadcast", "__fb") & same("ordinal", "__fo") & same("__s", "__fs"), "left")
+    port = F.when(F.col("__fs").isNull(), F.concat("__s", F.lit("-"), F.col("ordinal").cast("string"))).otherwise(F.col("__s"))
+    return at.withColumn("port", port).select(*rows.columns, "port")
 
 
 def track_names(pads: DataFrame, base: str = "video", audio: str = "audio", data: str = "data") -> DataFrame:
