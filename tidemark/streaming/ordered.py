@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import heapq
 import json
+import pickle
+import tempfile
 import time
 from collections.abc import Iterator
 
@@ -21,6 +24,8 @@ ROWS = (
 COLUMNS = [c.strip().split(" ")[0].strip("`") for c in ROWS.split(",")]
 #: A track's totals are told this often.
 REPORT_MS = 5000
+#: Events that a task sorts at once; those laid aside that it reads at once, of each run; rows that it hands on at once. Of each so many bytes at most, or one.
+RUN, READ, GIVEN = (1 << 14, 16 << 20), (1 << 8, 1 << 20), (1 << 12, 16 << 20)
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -62,6 +67,53 @@ def framed(rows: list[dict]) -> pd.DataFrame:
     return df.where(df.notna(), None)
 
 
+def pieces(rows: Iterator[dict], count: int, size: int) -> Iterator[list[dict]]:
+    """rows in lists of so many, and of so many bytes of payload, at most."""
+    out, held = [], 0
+    for row in rows:
+        out.append(row)
+        held += len(row.get("payload") or b"")
+        if len(out) >= count or held >= size:
+            yield out
+            out, held = [], 0
+    if out:
+        yield out
+
+
+def in_order(came: Iterator[pd.DataFrame], run: tuple[int, int] | None = None) -> Iterator[dict]:
+    """Events in the order of arrival, of equal ones as they came. They are sorted in runs; where there are several, runs are laid aside and merged."""
+
+    def place(event: dict) -> tuple:
+        at = event["arrival"]
+        return pd.isna(at), at
+
+    events = (event for rows in came for event in rows.to_dict("records"))
+    runs = pieces(events, *(run or RUN))
+    first, second = (sorted(r, key=place) for r in (next(runs, []), next(runs, [])))
+    if not second:
+        yield from first
+        return
+    with tempfile.TemporaryFile() as file:
+
+        def aside(rows: list[dict]) -> tuple[int, int]:
+            began = file.seek(0, 2)
+            for piece in pieces(iter(rows), *READ):
+                pickle.dump(piece, file)
+            return began, file.tell()
+
+        def read(at: int, end: int) -> Iterator[dict]:
+            while at < end:
+                file.seek(at)
+                piece = pickle.load(file)
+                at = file.tell()
+                yield from piece
+
+        spans = [aside(first), aside(second)]
+        del first, second
+        spans += [aside(sorted(r, key=place)) for r in runs]
+        yield from heapq.merge(*(read(*span) for span in spans), key=place)
+
+
 GROUP = "frames array<struct<nth: long, payload: binary>>, taken array<long>, sent long, over boolean, sync boolean, retaken boolean, again long"
 
 
@@ -93,7 +145,7 @@ class Ordering(StatefulProcessor):
             if number in hold.shelf:
                 g = hold.shelf.loaded[number]
                 self.groups.updateValue((number,), (g.frames, g.taken.borders, g.sent, g.over, g.sync, g.retaken, g.again))
-            elif self.groups.containsKey((number,)):
+            else:
                 self.groups.removeKey((number,))
         held = Spans()
         for number in hold.shelf:
@@ -108,14 +160,16 @@ class Ordering(StatefulProcessor):
         began = time.perf_counter()
         hold, now = self._hold(), float(timerValues.getCurrentProcessingTimeInMs())
         hold.call(now)
-        events = pd.concat(list(rows)).sort_values("arrival", kind="stable")
-        out: list[dict] = []
-        for event in events.to_dict("records"):
-            apply(hold, event)
-            out += told(key[0], hold, now, last=event["event"] == "finished")
+
+        def rows_out() -> Iterator[dict]:
+            for event in in_order(rows):
+                apply(hold, event)
+                yield from told(key[0], hold, now, last=event["event"] == "finished")
+
+        for out in pieces(rows_out(), *GIVEN):
+            yield framed(out)
         hold.call(now, (time.perf_counter() - began) * 1000)
         self._keep(hold)
-        yield framed(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         hold, now = self._hold(), float(timerValues.getCurrentProcessingTimeInMs())
