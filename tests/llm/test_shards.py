@@ -1,9 +1,11 @@
 import hashlib
 import math
+import random
 
 import numpy as np
 import public_tokenizers
 import pytest
+import tiktoken
 
 from tidemark.llm import shards
 
@@ -77,3 +79,15 @@ def test_query(spark):
     want = stream([(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()])
     assert sum(r["n_tokens"] for r in got) == sum(len(ids) for _, ids in want)
     assert {d for r in got for d in r["doc_ids"]} == {i for i, _ in want}
+
+
+def test_words_are_cut_as_the_vocabulary_says():
+    """The pattern cuts as the vocabulary's own one does, at any run of spaces, ends of lines, letters, numbers and marks."""
+    own = shards.encoding(open(PATH, "rb").read())
+    plain = tiktoken.Encoding("plain", pat_str=r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+", mergeable_ranks=own._mergeable_ranks, special_tokens={})
+    assert "\\p{L}++" in own._pat_str
+    rng = random.Random(6)
+    parts = [" ", "  ", "\n", "\r\n", "\t", "\u00a0", "\u2003", "\u0085", "a", "Zoë", "'s", "'re", "'", "'x", "12", "½", "٣", ".", "--", "e\u0301", "\U0001f600", "\x00", "日本"]
+    for _ in range(5000):
+        text = "".join(rng.choices(parts, k=rng.randrange(12)))
+        assert own.encode_ordinary(text) == plain.encode_ordinary(text), repr(text)
