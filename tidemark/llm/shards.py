@@ -31,9 +31,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 import sys
 import uuid
-from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -51,6 +51,11 @@ from tidemark.llm.common import per_worker, project, shared_dir, text_bytes, wri
 ROUNDS = 6
 #: How the vocabulary's texts are cut into words; a fixed value of the vocabulary, written so that a run is never given back and tried again.
 PATTERN = r"'(?:[stmd]|re|ve|ll)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+#: The same for texts that end before the last white space of each run that a word follows: without a look ahead, which the library's engine is slow at.
+CUT_PATTERN = r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
+#: White space as the pattern has it, which is less than Python's.
+SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+RUN, CUT = re.compile(f"[{SPACE}][{SPACE}]"), re.compile(f"(?<=[{SPACE}])(?=[{SPACE}][^{SPACE}])")
 
 
 class Permutation:
@@ -85,10 +90,18 @@ class Permutation:
         return x.astype(np.int64)
 
 
-def encoding(vocabulary: bytes) -> tiktoken.Encoding:
+def encoding(vocabulary: bytes, pattern: str = PATTERN) -> tiktoken.Encoding:
     """From the contents of a file of ranks."""
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
-    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    # No text is read as the special token; without one, the library would look for it at every place.
+    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={"<|end|>": max(ranks.values(), default=-1) + 1})
+
+
+def encoded(cut: tiktoken.Encoding, text: str) -> np.ndarray:
+    """The text's ids, by an encoding with CUT_PATTERN: as those of PATTERN, as words never cross such a cut."""
+    parts = CUT.split(text) if RUN.search(text) else [text]
+    ids = [cut.encode_to_numpy(p, disallowed_special=()) for p in parts]
+    return ids[0] if len(ids) == 1 else np.concatenate(ids)
 
 
 def packed(records: np.ndarray) -> bytes:
@@ -103,18 +116,17 @@ def unpacked(data: bytes, width: int) -> bytes:
 class Stream:
     """A partition's tokens, and what it held."""
 
-    def __init__(self, own: tiktoken.Encoding, end: int):
-        self.own, self.end, self.total, self.digest = own, end, 0, xxhash.xxh64()
+    def __init__(self, cut: tiktoken.Encoding):
+        self.cut, self.total, self.digest = cut, 0, xxhash.xxh64()
 
-    def tokens(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, list[int]]]:
-        """(doc_id, ids with the end) of each text."""
+    def tokens(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, np.ndarray]]:
+        """(doc_id, ids without the end, which the total has) of each text."""
         for batch in batches:
             for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 self.digest.update(b"%d:" % len(raw))
                 self.digest.update(raw)
-                ids = self.own.encode_ordinary(raw.decode("utf-8", "replace"))
-                ids.append(self.end)
-                self.total += len(ids)
+                ids = encoded(self.cut, raw.decode("utf-8", "replace"))
+                self.total += len(ids) + 1
                 yield doc, ids
 
 
@@ -133,12 +145,12 @@ def materialise(docs: DataFrame, vocabulary: str, out: str, key: int = 1, length
     src = src.select("doc_id", text_bytes().alias("body"))
     file, worker = spark.sparkContext.broadcast(Path(vocabulary).read_bytes()), uuid.uuid4().hex
     top = max(end, pad, len(file.value.splitlines()))
-    dtype, code = (np.dtype("<u2"), "H") if top < 1 << 16 else (np.dtype("<u4"), "I")
+    dtype = np.dtype("<u2") if top < 1 << 16 else np.dtype("<u4")
     if sys.byteorder != "little":
         raise NotImplementedError("records are little endian")
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = Stream(per_worker(worker, lambda: encoding(file.value)), end)
+        s = Stream(per_worker(worker, lambda: encoding(file.value, CUT_PATTERN)))
         for _ in s.tokens(batches):
             pass
         yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "n": [-(-s.total // length)], "digest": [s.digest.hexdigest()]})
@@ -151,9 +163,9 @@ def materialise(docs: DataFrame, vocabulary: str, out: str, key: int = 1, length
     order = Permutation(max(1, total), key)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = Stream(per_worker(worker, lambda: encoding(file.value)), end)
+        s = Stream(per_worker(worker, lambda: encoding(file.value, CUT_PATTERN)))
         start, digest = place.value[TaskContext.get().partitionId()]
-        held, owners, number = bytearray(), [], start
+        held, owners, number, close = bytearray(), [], start, dtype.type(end).tobytes()
 
         def records(last: bool) -> Iterator[pa.RecordBatch]:
             """A row for each shard that what is held has records for."""
@@ -193,8 +205,9 @@ def materialise(docs: DataFrame, vocabulary: str, out: str, key: int = 1, length
                 yield b
 
         for doc, ids in s.tokens(typed(batches)):
-            held += array(code, ids).tobytes()
-            owners.append((doc, len(ids)))
+            held += ids.astype(dtype).tobytes()
+            held += close
+            owners.append((doc, len(ids) + 1))
             if len(held) > 1 << 22:
                 yield from records(last=False)
         yield from records(last=True)
