@@ -1,9 +1,11 @@
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from tidemark.llm import lm, spelling
 from tidemark.llm.slots import Code, stretched
@@ -233,3 +235,32 @@ def test_repeats_and_order_of_words_tell(spark):
     got = {r["doc_id"]: r["score"] for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[fresh] > 0.4 * got[others[0]] and abs(got[others[0]] / got[others[1]] - 1) < 0.15
     assert got[train[0]] < 1.5 * got[fresh]  # a text's own words are not what predicts it
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    """A step's shuffle files are gone when its result is there: they don't add up over the steps until the driver collects garbage."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = blocks.getAllFiles()
+        return {n for n in (found.apply(i).getName() for i in range(found.size())) if n.startswith("shuffle_")}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = files(), spark.conf.get(name)
+    got = lm.score(spark.createDataFrame([(i, f"the cat {i} sat on the mat") for i in range(50)], "doc_id long, text string"))
+    for _ in range(20):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert spark.conf.get(name) == setting
+    assert got.count() == 50 and got.count() == 50  # what the caller runs is its own, as often as it likes
+
+
+def test_packed_ids():
+    rows = [[5, -7], [], [1 << 30], [], [2, 3, 4]]
+    col = pa.array([np.array(r, dtype=np.int32).tobytes() for r in rows], pa.binary())
+    for lo in range(6):
+        for hi in range(lo, 6):
+            ids, n = lm.packed_ids(col.slice(lo, hi - lo))
+            assert ids.tolist() == [x for r in rows[lo:hi] for x in r] and n.tolist() == [len(r) for r in rows[lo:hi]]
