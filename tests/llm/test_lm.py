@@ -264,3 +264,70 @@ def test_packed_ids():
         for hi in range(lo, 6):
             ids, n = lm.packed_ids(col.slice(lo, hi - lo))
             assert ids.tolist() == [x for r in rows[lo:hi] for x in r] and n.tolist() == [len(r) for r in rows[lo:hi]]
+
+
+def test_texts_are_cut_as_they_lie():
+    """Pieces, names and words from the texts' own bytes are those that one text after the other gives."""
+    rng = np.random.default_rng(7)
+    texts = [b"", b" ", b"a", b"a b", b"a  b\n", b"\n\n ", b"\x0b\x0c A\xc3\xa9", b"\x00 \x00", b"x" * 300] + [bytes(rng.choice(list(b"abA \n\t\r\x00\xc3\xff"), size=rng.integers(0, 40)).tolist()) for _ in range(400)]
+    whole = pa.array(texts, pa.binary())
+    for lo, hi in ((0, len(texts)), (3, 200), (1, 2), (0, 1), (5, 5)):
+        pieces, n = spelling.cut(whole[lo:hi])
+        want = [spelling.pieces_of(t) for t in texts[lo:hi]]
+        assert n.tolist() == [len(w) for w in want]
+        assert spelling.named(pieces).to_pylist() == [p for w in want for p in w]
+        assert spelling.words_of(pieces).to_pylist() == spelling.words_of(spelling.named(pieces)).to_pylist() == [p.translate(spelling.LOWER).rstrip() for w in want for p in w]
+
+
+def test_each_piece_of_a_slice_is_spelled_once():
+    asked = []
+
+    class Counting(spelling.Speller):
+        def costs(self, pieces):
+            asked.extend(pieces.to_pylist())
+            return super().costs(pieces)
+
+    rng = np.random.default_rng(8)
+    own = Counting(Code(np.ones(257, dtype=np.int64)), 14, rng.integers(-40, 40, size=(1, len(spelling.ORDERS), 1 << 14)).astype(np.int8))
+    texts = [b"the Cat sat on the mat", b"cat the\tfoo cat", b"", b" ", b"the foo"]
+    coder = lm.Coder(pa.array([b"the", b"on"], pa.binary()), own, pa.array([b"the", b"cat"], pa.binary()), np.array([9, 4]), 2.0)
+    ids, spelled, words, common, log, rare = coder.coded(pa.array(texts, pa.binary()))
+    assert len(asked) == len(set(asked))
+    ids, n = lm.packed_ids(ids)
+    edge = np.r_[0, np.cumsum(n)]
+    for i, t in enumerate(texts):
+        ps = spelling.pieces_of(t)
+        ws = [w for w in t.lower().split() if w]
+        known = [{b"the": 9, b"cat": 4}[w] for w in ws if w in (b"the", b"cat")]
+        assert [k if k >= 0 else None for k in ids[edge[i] : edge[i + 1]].tolist()] == [{b"the": 0, b"on": 1}.get(p) for p in ps]
+        assert math.isclose(spelled[i].as_py(), sum(own.costs(pa.array([p], pa.binary()))[0] for p in ps if p not in (b"the", b"on")), rel_tol=1e-5, abs_tol=1e-9)
+        assert (words[i].as_py(), common[i].as_py(), rare[i].as_py()) == (len(ws), len(known), [w for w in ws if w not in (b"the", b"cat")])
+        assert math.isclose(log[i].as_py(), sum(math.log10((c + 0.1) / 2.0) for c in known), abs_tol=1e-9)
+
+
+def test_a_shared_prefix_is_counted_once_with_its_weight():
+    rng = np.random.default_rng(9)
+    own = spelling.Speller(Code(np.ones(257, dtype=np.int64)), 14)
+    names = list({bytes(rng.choice(list(b"ab\xff"), size=rng.integers(0, 10 if rng.random() < 0.8 else 40)).tolist()) + e for _ in range(2000) for e in (b"", b" ", b"\n")})
+    n = rng.integers(1, 1 << 26, size=len(names))
+    got, want, events = np.zeros((5, 2 << 14), dtype=np.int64), np.zeros((5, 2 << 14), dtype=np.int64), 0
+    for slots, bit, weight in spelling.piece_events(lambda: own)()(pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(n)], names=["piece", "n"])):
+        events += len(bit)
+        for o in range(5):
+            np.add.at(got[o], 2 * slots[o] + bit, weight)
+    e = own.events(names)
+    for o in range(5):
+        np.add.at(want[o], 2 * e["slots"][o] + e["bit"], n[e["piece"]])
+    assert (got == want).all() and events < 0.9 * len(e["bit"])
+
+
+def test_bits_counted_by_depth_are_the_same():
+    rng = np.random.default_rng(10)
+    signs = a_model(rng, 300).symbols
+    n = np.array([0, 1, 2, 500])
+    s = rng.integers(0, 301, size=int(n.sum()))
+    contexts = signs.contexts(s, n)
+    _, _, bit, _, slots = signs.events(s, contexts, 14)
+    parts = list(signs.counted(s, contexts, 14))
+    for o in range(lm.INPUTS - 1):
+        assert sorted((2 * slots[o] + bit).tolist()) == sorted(np.concatenate([2 * p[o] + b for p, b in parts]).tolist())
